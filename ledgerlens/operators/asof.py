@@ -29,23 +29,25 @@ def nearest_price(
     the union keeps the partitioning and nothing is shuffled.
     """
     quote = F.struct(F.col(order).alias("price_date"), *[F.col(c) for c in columns])
-    asked = df.select(key, order, F.struct(*df.columns).alias("_row"))
-    quoted = price.select(key, order, quote.alias("_quote"))
+    # New names for the key: the union then reports the partitioning both sides share.
+    at = [F.col(key).alias("_key"), F.col(order).alias("_at")]
+    asked = df.select(*at, F.struct(*df.columns).alias("_row"))
+    quoted = price.select(*at, quote.alias("_quote"))
     stream = asked.unionByName(quoted, allowMissingColumns=True)
 
     # On equal dates a price must precede the rows that ask for it, in both directions.
     is_row = F.col("_row").isNotNull()
     so_far = (W.unboundedPreceding, W.currentRow)
-    forward = W.partitionBy(key).orderBy(F.col(order), is_row).rowsBetween(*so_far)
-    backward = W.partitionBy(key).orderBy(F.col(order).desc(), is_row).rowsBetween(*so_far)
-    before = F.last("_quote", ignorenulls=True)
+    forward = W.partitionBy("_key").orderBy(F.col("_at"), is_row).rowsBetween(*so_far)
+    backward = W.partitionBy("_key").orderBy(F.col("_at").desc(), is_row).rowsBetween(*so_far)
+    seen = F.last("_quote", ignorenulls=True)
     found = (
-        stream.withColumn("_before", before.over(forward))
-        .withColumn("_after", before.over(backward))
+        stream.withColumn("_before", seen.over(forward))
+        .withColumn("_after", seen.over(backward))
         .filter(is_row)
     )
-    gap_before = day_gap(order, "_before.price_date")
-    gap_after = day_gap(order, "_after.price_date")
+    gap_before = day_gap("_at", "_before.price_date")
+    gap_after = day_gap("_at", "_after.price_date")
     chosen = F.when(
         F.col("_after").isNull() | (gap_before <= gap_after), F.col("_before")
     ).otherwise(F.col("_after"))

@@ -10,6 +10,24 @@ from pyspark.sql import SparkSession
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
+# Settings the plans are written for.  Tables are bucketed by symbol and joined on symbol
+# and date; with the first setting such a join keeps the buckets instead of shuffling both
+# sides by all keys.  A symbol's rows are bounded by the calendar, so this adds no skew.
+SQL_SETTINGS = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the SQL settings; they can be changed at run time and need no new session."""
+    for name, value in SQL_SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def shared_root(spark: SparkSession) -> str | None:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 

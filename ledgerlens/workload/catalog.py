@@ -1,6 +1,10 @@
 """All registered queries."""
 
-from ledgerlens.workload import report_queries  # noqa: F401
+from ledgerlens.workload import (  # noqa: F401
+    relational_queries,
+    report_queries,
+    scalar_queries,
+)
 from ledgerlens.workload.registry import QUERIES, SQL, runnable
 
 __all__ = ["QUERIES", "SQL", "runnable"]

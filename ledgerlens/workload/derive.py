@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.statements import HEADER, shares_from_income
-from ledgerlens.session import shared_root, work_folder
+from ledgerlens.session import configure, shared_root, work_folder
 from ledgerlens.sources.writers import bucket_count, write_bucketed
 
 INCOME = (
@@ -250,6 +250,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     key = (spark.conf.get("spark.app.id", ""), sf_dir)
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = Warehouse(spark, sf_dir)
+    configure(spark)
     return _WAREHOUSES[key]
 
 
