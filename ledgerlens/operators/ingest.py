@@ -65,16 +65,18 @@ def ingest(store: VersionedStore, raw: Mapping[str, DataFrame]) -> DataFrame:
     A symbol with an invalid row in any batch is left out of all tables.  Returns the
     status per symbol.  Running the same batches again changes nothing.
     """
-    batches = {table: normalize(df, table) for table, df in raw.items()}
-    status = ingest_status(batches)
-    failed = status.filter(~F.col("ok"))
-    good = {
-        t: b.filter(F.col("symbol").isNotNull()).join(failed.select("symbol"), "symbol", "left_anti")
-        for t, b in batches.items()
-    }
     last, layout = store.current()
     version = last + 1
-    ids, company_rows = _company_batch(good, store.read("company"))
+    batches = {
+        table: store.stage(table, normalize(df, table), version) for table, df in raw.items()
+    }
+    status = store.stage("status", ingest_status(batches), version)
+    failed = status.filter(~F.col("ok")).select("symbol")
+    good = {
+        table: batch.filter(F.col("symbol").isNotNull()).join(failed, "symbol", "left_anti")
+        for table, batch in batches.items()
+    }
+    ids, company_rows = _company_batch(good, store.read("company", layout=layout))
     prepared = {"company": (company_rows, ["symbol"])}
     for table, batch in good.items():
         if table != "company":
@@ -86,8 +88,8 @@ def ingest(store: VersionedStore, raw: Mapping[str, DataFrame]) -> DataFrame:
     for table, (batch, merge_on) in prepared.items():
         touched = store.touched(batch)
         if touched:
-            merged = upsert.apply_batch(batch, store.read(table, touched), merge_on)
-            store.write_version(table, merged, version)
+            stored = store.read(table, touched, layout)
+            store.write_version(table, upsert.apply_batch(batch, stored, merge_on), version)
             written[table] = touched
     if written:
         store.commit(version, layout, written)

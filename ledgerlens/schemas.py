@@ -11,7 +11,17 @@ import warnings
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 # Column names and types of each table, in table order.
 COMPANY = """
@@ -111,6 +121,23 @@ PERIODS = ("quarter", "fy")
 SURROGATES = ("id", "company_id")
 
 
+TYPES = {
+    "bigint": LongType(),
+    "boolean": BooleanType(),
+    "date": DateType(),
+    "double": DoubleType(),
+    "int": IntegerType(),
+    "string": StringType(),
+    "timestamp_ntz": TimestampNTZType(),
+}
+
+
+def _fields(table: str) -> list[StructField]:
+    """Declared columns with the provider's names; needs no session."""
+    pairs = [column.split() for column in TABLES[table].split(",")]
+    return [StructField(name, TYPES[kind]) for name, kind in pairs]
+
+
 def check_period(period: str) -> str:
     if period not in PERIODS:
         raise ValueError(f"period must be one of {PERIODS}, got {period!r}")
@@ -119,14 +146,12 @@ def check_period(period: str) -> str:
 
 def provider_schema(table: str) -> StructType:
     """Schema of a provider batch: camelCase names, without surrogate columns."""
-    full = StructType.fromDDL(TABLES[table])
-    return StructType([f for f in full.fields if f.name not in SURROGATES])
+    return StructType([f for f in _fields(table) if f.name not in SURROGATES])
 
 
 def table_schema(table: str) -> StructType:
     """Schema of the stored table: lower-case names."""
-    full = StructType.fromDDL(TABLES[table])
-    return StructType([StructField(f.name.lower(), f.dataType, True) for f in full.fields])
+    return StructType([StructField(f.name.lower(), f.dataType) for f in _fields(table)])
 
 
 def compared_columns(table: str) -> list[str]:

@@ -44,9 +44,15 @@ class VersionedStore:
             layout.setdefault(row.table_name, {})[row.bucket] = row.version
         return last, layout
 
-    def read(self, table: str, buckets: Iterable[int] | None = None) -> DataFrame:
-        """Rows of the table at the latest commit, optionally of some buckets only."""
-        _, layout = self.current()
+    def read(
+        self,
+        table: str,
+        buckets: Iterable[int] | None = None,
+        layout: Layout | None = None,
+    ) -> DataFrame:
+        """Rows of the table at the latest (or given) layout, optionally of some buckets only."""
+        if layout is None:
+            _, layout = self.current()
         wanted = layout.get(table, {})
         if buckets is not None:
             keep = set(buckets)
@@ -67,6 +73,16 @@ class VersionedStore:
         rows = batch.select(self.bucket_of().alias("bucket")).distinct().collect()
         return sorted(r.bucket for r in rows)
 
+    def stage(self, name: str, df: DataFrame, version: int) -> DataFrame:
+        """Write an intermediate result beside the tables and read it back.
+
+        Later steps scan typed columns instead of parsing the raw files again, and a
+        lost executor costs a re-read, not a recomputation.
+        """
+        path = f"{self.root}/_staging/version={version}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def write_version(self, table: str, df: DataFrame, version: int) -> None:
         """Write buckets of a table as a new, not yet visible version."""
         order = [c for c in ("symbol", "date") if c in df.columns]

@@ -30,7 +30,7 @@ def stream_upsert(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def upsert_files(batch: DataFrame, _batch_id: int) -> None:
-        ingest(store, {table: batch})
+        ingest(VersionedStore(batch.sparkSession, store.root, store.buckets), {table: batch})
 
     query = (
         reader.json(landing)

@@ -277,12 +277,12 @@ def join_right_inner(t):
     """SELECT m.symbol, median_revenue, profits FROM
        (SELECT symbol, quantile_disc(revenue, 0.5) AS median_revenue FROM statement_fy GROUP BY symbol) m
        LEFT JOIN (SELECT symbol, CAST(SUM(netincome) AS BIGINT) AS profits FROM snapshot_old
-                  GROUP BY symbol) o USING (symbol) WHERE profits > 15000000000""",
+                  GROUP BY symbol) o USING (symbol) WHERE profits > 30000000000""",
     snapshots=True,
 )
 def join_left_filter(t):
     profits = t["snapshot_old"].groupBy("symbol").agg(F.sum("netincome").alias("profits"))
-    return _fy_median(t).join(profits, "symbol", "left").filter("profits > 15000000000")
+    return _fy_median(t).join(profits, "symbol", "left").filter("profits > 30000000000")
 
 
 @register(
