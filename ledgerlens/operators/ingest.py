@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -23,15 +23,21 @@ def _dataset_of(table: str) -> str:
     raise ValueError(f"no dataset loads table {table!r}")
 
 
-def keys_of(table: str) -> list[str]:
-    return schemas.merge_keys(_dataset_of(table), schemas.compared_columns(table))
+def keys_of(table: str, columns: Iterable[str] | None = None) -> list[str]:
+    """Merge keys of a table for a batch with the given columns (default: all declared)."""
+    have = schemas.compared_columns(table) if columns is None else columns
+    return schemas.merge_keys(_dataset_of(table), have)
 
 
 def ingest_status(batches: Mapping[str, DataFrame]) -> DataFrame:
     """(symbol, ok) over all batches: a symbol fails if any of its rows lacks a key."""
     checked = []
     for table, batch in batches.items():
-        valid = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys_of(table)])
+        by = keys_of(table, batch.columns)
+        lacking = [k for k in by if k not in batch.columns]
+        if lacking:
+            raise ValueError(f"batch for {table} has no column {', '.join(lacking)}")
+        valid = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])
         checked.append(batch.select("symbol", valid.alias("ok")))
     rows = reduce(DataFrame.unionByName, checked)
     return rows.groupBy("symbol").agg(F.bool_and("ok").alias("ok"))
@@ -43,20 +49,13 @@ def status_counts(status: DataFrame) -> DataFrame:
     )
 
 
-def _company_batch(
-    batches: Mapping[str, DataFrame], stored: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Ids of all symbols in the run, and the rows to upsert into company."""
+def _company_ids(batches: Mapping[str, DataFrame], stored: DataFrame) -> DataFrame:
+    """(id, symbol) of the run's companies; unknown symbols get the next free ids."""
     symbols = reduce(
         DataFrame.unionByName, [b.select("symbol").distinct() for b in batches.values()]
     ).distinct()
-    stubs = keys.stub_companies(symbols, stored)
-    ids = stored.select("id", "symbol").unionByName(stubs)
-    rows = symbols.join(ids, "symbol")
-    if "company" in batches:
-        profile = upsert.dedup_batch(batches["company"], ["symbol"])
-        rows = rows.join(profile, "symbol", "left")
-    return ids, rows
+    known = stored.select("id", "symbol").join(symbols, "symbol", "left_semi")
+    return known.unionByName(keys.stub_companies(symbols, stored))
 
 
 def ingest(store: VersionedStore, raw: Mapping[str, DataFrame]) -> DataFrame:
@@ -68,7 +67,8 @@ def ingest(store: VersionedStore, raw: Mapping[str, DataFrame]) -> DataFrame:
     last, layout = store.current()
     version = last + 1
     batches = {
-        table: store.stage(table, normalize(df, table), version) for table, df in raw.items()
+        table: store.stage(table, normalize(df, table, fill_missing=False), version)
+        for table, df in raw.items()
     }
     status = store.stage("status", ingest_status(batches), version)
     failed = status.filter(~F.col("ok")).select("symbol")
@@ -76,23 +76,25 @@ def ingest(store: VersionedStore, raw: Mapping[str, DataFrame]) -> DataFrame:
         table: batch.filter(F.col("symbol").isNotNull()).join(failed, "symbol", "left_anti")
         for table, batch in batches.items()
     }
-    ids, company_rows = _company_batch(good, store.read("company", layout=layout))
-    prepared = {"company": (company_rows, ["symbol"])}
+    stored_companies = store.read("company", layout=layout)
+    ids = store.stage("company_ids", _company_ids(good, stored_companies), version)
+
+    prepared = {"company": ids}
     for table, batch in good.items():
-        if table != "company":
-            merge_on = keys_of(table)
-            deduped = upsert.dedup_batch(batch, merge_on)
-            prepared[table] = (keys.fk_resolve(deduped, ids), merge_on)
-
-    written = {}
-    for table, (batch, merge_on) in prepared.items():
-        touched = store.touched(batch)
-        if touched:
-            stored = store.read(table, touched, layout)
-            store.write_version(table, upsert.apply_batch(batch, stored, merge_on), version)
-            written[table] = touched
-    if written:
-        store.commit(version, layout, written)
+        deduped = upsert.dedup_batch(batch, keys_of(table, batch.columns))
+        if table == "company":
+            prepared[table] = ids.join(deduped, "symbol", "left")
+        else:
+            prepared[table] = keys.fk_resolve(deduped, ids)
+
+    touched = store.touched({**good, "company": ids})
+    for table, buckets in touched.items():
+        stored = store.read(table, buckets, layout)
+        by = keys_of(table, prepared[table].columns)
+        merged = upsert.apply_batch(prepared[table], stored, by)
+        store.write_version(table, merged, version)
+    if touched:
+        store.commit(version, layout, touched)
     return status
 
 

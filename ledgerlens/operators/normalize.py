@@ -17,14 +17,17 @@ def rename_lower(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def project_declared(df: DataFrame, table: str) -> DataFrame:
-    """Keep the declared columns only; a declared column not in the batch is NULL."""
+def project_declared(df: DataFrame, table: str, fill_missing: bool = True) -> DataFrame:
+    """Keep the declared columns only.
+
+    A declared column not in the batch is NULL, or left out without ``fill_missing``.
+    """
     present = set(df.columns)
     return df.select(
         *[
             F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schemas.table_schema(table).fields
-            if f.name not in schemas.SURROGATES
+            if f.name not in schemas.SURROGATES and (fill_missing or f.name in present)
         ]
     )
 
@@ -60,6 +63,7 @@ def add_columns(df: DataFrame, columns: Mapping[str, str | DataType]) -> DataFra
     )
 
 
-def normalize(df: DataFrame, table: str) -> DataFrame:
+def normalize(df: DataFrame, table: str, fill_missing: bool = True) -> DataFrame:
     """Rename, project, cast and clear NaN: one narrow projection over the batch."""
-    return nan_to_null(cast_declared(project_declared(rename_lower(df), table), table))
+    projected = project_declared(rename_lower(df), table, fill_missing)
+    return nan_to_null(cast_declared(projected, table))

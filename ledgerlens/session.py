@@ -13,8 +13,11 @@ _LOCAL_ROOTS: dict[str, str] = {}
 # Settings the plans are written for.  Tables are bucketed by symbol and joined on symbol
 # and date; with the first setting such a join keeps the buckets instead of shuffling both
 # sides by all keys.  A symbol's rows are bounded by the calendar, so this adds no skew.
+# The second lets a scan of one sorted file per bucket stand for the sort of a merge join
+# or window.
 SQL_SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

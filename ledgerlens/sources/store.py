@@ -8,6 +8,7 @@ see the tables of one commit only: a run that fails half-way is invisible.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,10 +69,16 @@ class VersionedStore:
         bucket = self.spark.range(1).select(self.bucket_of(F.lit(symbol))).first()[0]
         return self.read(table, [bucket]).filter(F.col("symbol") == symbol)
 
-    def touched(self, batch: DataFrame) -> list[int]:
-        """Buckets the batch falls in; at most ``buckets`` numbers reach the driver."""
-        rows = batch.select(self.bucket_of().alias("bucket")).distinct().collect()
-        return sorted(r.bucket for r in rows)
+    def touched(self, batches: Mapping[str, DataFrame]) -> dict[str, list[int]]:
+        """Buckets each batch falls in; at most tables times buckets rows reach the driver."""
+        parts = [
+            b.select(F.lit(t).alias("table_name"), self.bucket_of().alias("bucket")).distinct()
+            for t, b in batches.items()
+        ]
+        found: dict[str, list[int]] = {}
+        for row in reduce(DataFrame.unionByName, parts).collect():
+            found.setdefault(row.table_name, []).append(row.bucket)
+        return {t: sorted(b) for t, b in found.items()}
 
     def stage(self, name: str, df: DataFrame, version: int) -> DataFrame:
         """Write an intermediate result beside the tables and read it back.

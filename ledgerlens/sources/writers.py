@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,21 +39,26 @@ def bucket_count(symbols: int) -> int:
 
 
 def write_bucketed(
-    df: DataFrame, name: str, path: str, buckets: int, key: str = "symbol", sort: str | None = None
+    df: DataFrame,
+    name: str,
+    path: str,
+    buckets: int,
+    key: str = "symbol",
+    sort: Sequence[str] = (),
 ) -> DataFrame:
-    """Write a table bucketed by ``key`` and sorted inside, one file per bucket.
+    """Write a table bucketed by ``key`` and sorted by key and ``sort``, one file per bucket.
 
     Tables of the same key and bucket count join, window and aggregate on the key
-    without a shuffle, and a filter on the key reads one bucket.
+    without a shuffle (and without a sort where the order fits), and a filter on the
+    key reads one bucket.
     """
-    order = [key] if sort is None else [key, sort]
     spark: SparkSession = df.sparkSession
     (
         df.repartition(buckets, F.col(key))
         .write.format("parquet")
         .mode("errorifexists")
         .bucketBy(buckets, key)
-        .sortBy(*order)
+        .sortBy(key, *sort)
         .option("path", path)
         .saveAsTable(name)
     )

@@ -8,6 +8,7 @@ derivation for the SQL check.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -205,7 +206,7 @@ class Warehouse(dict):
         df = self[name] = self._make(name)
         return df
 
-    def _stored(self, name: str, df: DataFrame, sort: str | None) -> DataFrame:
+    def _stored(self, name: str, df: DataFrame, sort: Sequence[str] = ()) -> DataFrame:
         """Written and bucketed where a shared folder exists, else the plan itself."""
         if self._folder is None:
             return df
@@ -217,17 +218,18 @@ class Warehouse(dict):
 
     def _make(self, name: str) -> DataFrame:
         spark, sf_dir = self.spark, self.sf_dir
+        by_date = ["company_id", "date"]
         if name == "company":
-            return self._stored(name, companies(spark, sf_dir), None)
+            return self._stored(name, companies(spark, sf_dir))
         if name == "price":
-            return self._stored(name, prices(sales(spark, sf_dir)), "date")
+            return self._stored(name, prices(sales(spark, sf_dir)), ["date"])
         if name == "statement_quarter":
-            return self._stored(name, quarter_statements(sales(spark, sf_dir)), "date")
+            return self._stored(name, quarter_statements(sales(spark, sf_dir)), by_date)
         if name == "statement_fy":
-            return self._stored(name, year_statements(self["statement_quarter"]), "date")
+            return self._stored(name, year_statements(self["statement_quarter"]), by_date)
         if name == "snapshot_old":
             df = stored_snapshot(sales(spark, sf_dir), self["company"])
-            return self._stored(name, df, "date")
+            return self._stored(name, df, by_date)
         if name == "snapshot_new":
             blank = F.when(F.col("period") != "Q4", F.col("interestexpense"))
             return self["statement_quarter"].withColumn("interestexpense", blank)
