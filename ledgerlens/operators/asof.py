@@ -17,6 +17,7 @@ def nearest_price(
     key: str = "symbol",
     order: str = "date",
     columns: Sequence[str] = ("close",),
+    repeated_dates: bool = False,
 ) -> DataFrame:
     """Each row with the price closest in time, before or after; earlier on a tie.
 
@@ -27,7 +28,15 @@ def nearest_price(
     bounded by the calendar: about 46 thousand days since 1900.  Left columns travel
     as one struct, so price rows stay narrow.  If both sides are bucketed by the key
     the union keeps the partitioning and nothing is shuffled.
+
+    ``df`` may hold a key and date many times only with ``repeated_dates``: the lookup is
+    then made once per distinct key and date and joined back.
     """
+    if repeated_dates:
+        dates = df.select(key, order).distinct()
+        found = nearest_price(dates, price, key, order, columns)
+        return df.join(found, [key, order], "left").select(*df.columns, "price_date", *columns)
+
     quote = F.struct(F.col(order).alias("price_date"), *[F.col(c) for c in columns])
     # New names for the key: the union then reports the partitioning both sides share.
     at = [F.col(key).alias("_key"), F.col(order).alias("_at")]

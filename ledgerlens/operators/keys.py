@@ -27,14 +27,14 @@ def surrogate_ids(
     """
     grouped = df.withColumn("_group", _id_group(key))
     counts = grouped.groupBy("_group").agg(F.count("*").alias("_n"))
+    if start is not None:
+        # An empty group name sorts first: ids in use count as rows before all others.
+        used = start.select(F.lit("").alias("_group"), F.coalesce("max_id", F.lit(0)).alias("_n"))
+        counts = counts.unionByName(used)
     before = W.orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
         "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    if start is not None:
-        offsets = offsets.crossJoin(F.broadcast(start.select("max_id"))).select(
-            "_group", (F.col("_offset") + F.coalesce("max_id", F.lit(0))).alias("_offset")
-        )
     inside = F.row_number().over(W.partitionBy("_group").orderBy(key))
     return (
         grouped.withColumn("_inside", inside)

@@ -43,14 +43,15 @@ def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6, skip: Sequence[str] = ()) -> DataFrame:
     """Round floating-point columns, as sums and powers differ in the last bits."""
-    return df.select(
-        *[
-            F.round(f.name, digits).alias(f.name) if is_floating(f.dataType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+
+    def cell(field):
+        if is_floating(field.dataType) and field.name not in skip:
+            return F.round(field.name, digits).alias(field.name)
+        return F.col(field.name)
+
+    return df.select(*[cell(f) for f in df.schema.fields])
 
 
 def round_sql(columns: Sequence[str], digits: int = 6) -> str:

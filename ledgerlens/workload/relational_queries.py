@@ -245,11 +245,14 @@ def join_implicit(t):
        (SELECT CAST(SUM(revenue) AS BIGINT) AS total_revenue FROM statement_fy)""",
 )
 def join_cross_scalar(t):
-    # Each side is a global aggregate, so exactly one row.
-    last = t["price"].agg(F.max("date").alias("last_date"))
-    companies = t["company"].agg(F.count("*").alias("companies"))
-    revenue = t["income_statement_fy"].agg(F.sum("revenue").alias("total_revenue"))
-    return last.crossJoin(companies).crossJoin(revenue)
+    # Each side is a global aggregate, so one row: a scalar subquery, not a cross join.
+    companies = t["company"].agg(F.count("*"))
+    revenue = t["income_statement_fy"].agg(F.sum("revenue"))
+    return t["price"].agg(F.max("date").alias("last_date")).select(
+        "last_date",
+        companies.scalar().alias("companies"),
+        revenue.scalar().alias("total_revenue"),
+    )
 
 
 def _fy_median(t):

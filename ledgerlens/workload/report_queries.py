@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ledgerlens.plans import reports
 from ledgerlens.workload.registry import register, round_sql, rounded
 
@@ -197,15 +195,14 @@ SELECT symbol, date, ROUND(roce, 6) AS roce,
        ROUND(gross_margin, 6) AS gross_margin, ROUND(operating_margin, 6) AS operating_margin,
        ROUND(cashflow_conversion, 6) AS cashflow_conversion, adj_fcf,
        ROUND(epsdiluted, 6) AS epsdiluted,
-       ROUND(CAST(weightedaverageshsoutdil AS DOUBLE) * close, 2) AS market_cap,
+       CAST(weightedaverageshsoutdil AS DOUBLE) * close AS market_cap,
        ROUND(CAST(adj_fcf AS DOUBLE)
              / NULLIF(CAST(weightedaverageshsoutdil AS DOUBLE) * close, 0) * 100, 6) AS adj_fcf_yield
 FROM mq JOIN near USING (symbol, date)""",
     ctes=ttm_metrics_cte() + "," + NEAREST,
 )
 def ticker_history(t):
-    history = reports.ticker_history(t, symbols=None)
-    return rounded(history.withColumn("market_cap", F.round("market_cap", 2)))
+    return rounded(reports.ticker_history(t, symbols=None), skip=["market_cap"])
 
 
 @register(
