@@ -56,9 +56,10 @@ def ordered(df: DataFrame, *order: Column | str) -> DataFrame:
 
     Sorting range-partitions, and to find the ranges Spark first runs what lies below
     once more.  The exchange in between makes that a read of the finished rows, which
-    are few, instead of a second run of scans, joins and windows.
+    are few, instead of a second run of scans, joins and windows.  It spreads by all
+    columns; by symbol alone it would count as done already and be left out.
     """
-    return df.repartition("symbol").orderBy(*order)
+    return df.repartition(*df.columns).orderBy(*order)
 
 
 def statement_base(
