@@ -22,9 +22,9 @@ def nearest_price(
     """Each row with the price closest in time, before or after; earlier on a tie.
 
     Rows of a key without a price stay, with NULL.  Adds ``price_date`` and the price
-    ``columns``.  Both sides are laid in one stream ordered by date and the last price
-    seen is carried, once forward and once backward: linear in the rows of a key, with
-    no pair of rows built.  Prices are unique on (key, order), so a key's stream is
+    ``columns``.  Each price knows the next one; both sides are laid in one stream
+    ordered by date and the last price seen is carried along: one ordered pass, linear
+    in the rows of a key, with no pair of rows built.  Prices are unique on (key, order), so a key's stream is
     bounded by the calendar: about 46 thousand days since 1900.  Left columns travel
     as one struct, so price rows stay narrow.  If both sides are bucketed by the key
     the union keeps the partitioning and nothing is shuffled.
@@ -37,29 +37,32 @@ def nearest_price(
         found = nearest_price(dates, price, key, order, columns)
         return df.join(found, [key, order], "left").select(*df.columns, "price_date", *columns)
 
-    quote = F.struct(F.col(order).alias("price_date"), *[F.col(c) for c in columns])
     # New names for the key: the union then reports the partitioning both sides share.
     at = [F.col(key).alias("_key"), F.col(order).alias("_at")]
+    here = F.struct(F.col(order).alias("price_date"), *[F.col(c) for c in columns])
+    following = F.lead("_here").over(W.partitionBy("_key").orderBy("_at"))
+    quoted = price.select(*at, here.alias("_here")).select(
+        "_key", "_at", F.struct("_here", following.alias("_next")).alias("_quote")
+    )
     asked = df.select(*at, F.struct(*df.columns).alias("_row"))
-    quoted = price.select(*at, quote.alias("_quote"))
     stream = asked.unionByName(quoted, allowMissingColumns=True)
 
-    # On equal dates a price must precede the rows that ask for it, in both directions.
-    is_row = F.col("_row").isNotNull()
-    so_far = (W.unboundedPreceding, W.currentRow)
-    forward = W.partitionBy("_key").orderBy(F.col("_at"), is_row).rowsBetween(*so_far)
-    backward = W.partitionBy("_key").orderBy(F.col("_at").desc(), is_row).rowsBetween(*so_far)
-    seen = F.last("_quote", ignorenulls=True)
-    found = (
-        stream.withColumn("_before", seen.over(forward))
-        .withColumn("_after", seen.over(backward))
-        .filter(is_row)
-    )
-    gap_before = day_gap("_at", "_before.price_date")
-    gap_after = day_gap("_at", "_after.price_date")
-    chosen = F.when(
-        F.col("_after").isNull() | (gap_before <= gap_after), F.col("_before")
-    ).otherwise(F.col("_after"))
+    # On equal dates a price precedes the rows that ask for it.
+    stream = stream.withColumn("_asks", F.col("_row").isNotNull())
+    ordered = W.partitionBy("_key").orderBy("_at", "_asks")
+    so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
+    whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    found = stream.withColumns(
+        {
+            "_last": F.last("_quote", ignorenulls=True).over(so_far),
+            "_first": F.first("_quote", ignorenulls=True).over(whole),
+        }
+    ).filter("_asks")
+    before = F.col("_last._here")
+    after = F.when(F.col("_last").isNull(), F.col("_first._here")).otherwise(F.col("_last._next"))
+    gap_before = day_gap("_at", before.getField("price_date"))
+    gap_after = day_gap("_at", after.getField("price_date"))
+    chosen = F.when(after.isNull() | (gap_before <= gap_after), before).otherwise(after)
     return found.select("_row.*", chosen.alias("_chosen")).select(
         *df.columns, "_chosen.price_date", *[f"_chosen.{c}" for c in columns]
     )

@@ -40,7 +40,8 @@ def shared_root(spark: SparkSession) -> str | None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local["):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         return None
     app = spark.conf.get("spark.app.id", "local")
     if app not in _LOCAL_ROOTS:
