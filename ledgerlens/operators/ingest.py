@@ -49,13 +49,11 @@ def status_counts(status: DataFrame) -> DataFrame:
     )
 
 
-def _company_ids(batches: Mapping[str, DataFrame], stored: DataFrame) -> DataFrame:
+def _company_ids(symbols: Mapping[str, DataFrame], stored: DataFrame) -> DataFrame:
     """(id, symbol) of the run's companies; unknown symbols get the next free ids."""
-    symbols = reduce(
-        DataFrame.unionByName, [b.select("symbol").distinct() for b in batches.values()]
-    ).distinct()
-    known = stored.select("id", "symbol").join(symbols, "symbol", "left_semi")
-    return known.unionByName(keys.stub_companies(symbols, stored))
+    every = reduce(DataFrame.unionByName, symbols.values()).distinct()
+    known = stored.select("id", "symbol").join(every, "symbol", "left_semi")
+    return known.unionByName(keys.stub_companies(every, stored))
 
 
 def ingest(store: VersionedStore, raw: Mapping[str, DataFrame]) -> DataFrame:
@@ -72,27 +70,33 @@ def ingest(store: VersionedStore, raw: Mapping[str, DataFrame]) -> DataFrame:
     }
     status = store.stage("status", ingest_status(batches), version)
     failed = status.filter(~F.col("ok")).select("symbol")
-    good = {
-        table: batch.filter(F.col("symbol").isNotNull()).join(failed, "symbol", "left_anti")
+    # Distinct symbols and de-duplicated rows both combine before the shuffle, so a symbol
+    # that landed very many times does not meet in one task.
+    symbols = {
+        table: batch.select("symbol")
+        .filter(F.col("symbol").isNotNull())
+        .distinct()
+        .join(failed, "symbol", "left_anti")
         for table, batch in batches.items()
     }
     stored_companies = store.read("company", layout=layout)
-    ids = store.stage("company_ids", _company_ids(good, stored_companies), version)
+    ids = store.stage("company_ids", _company_ids(symbols, stored_companies), version)
 
     prepared = {"company": ids}
-    for table, batch in good.items():
+    for table, batch in batches.items():
         deduped = upsert.dedup_batch(batch, keys_of(table, batch.columns))
+        good = deduped.join(failed, "symbol", "left_anti")
         if table == "company":
-            prepared[table] = ids.join(deduped, "symbol", "left")
+            prepared[table] = ids.join(good, "symbol", "left")
         else:
-            prepared[table] = keys.fk_resolve(deduped, ids)
+            prepared[table] = keys.fk_resolve(good.filter("symbol IS NOT NULL"), ids)
 
-    touched = store.touched({**good, "company": ids})
+    touched = store.touched({**symbols, "company": ids})
     for table, buckets in touched.items():
         stored = store.read(table, buckets, layout)
         by = keys_of(table, prepared[table].columns)
         merged = upsert.apply_batch(prepared[table], stored, by)
-        store.write_version(table, merged, version)
+        store.write_version(table, merged, version, len(buckets))
     if touched:
         store.commit(version, layout, touched)
     return status

@@ -6,7 +6,7 @@ import warnings
 from collections.abc import Collection, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -16,24 +16,83 @@ from ledgerlens.operators.normalize import normalize
 from ledgerlens.operators.statements import keep_symbols
 
 
-def read_csv_tree(spark: SparkSession, folder: str, table: str | None = None) -> DataFrame:
-    """All ``*.csv`` files below a folder, by header name; corrupt files are skipped.
+#: widest file that is read by name when headers differ from file to file
+MAX_CSV_COLUMNS = 256
 
-    Columns arrive as text (names come from the header, nothing is inferred).  With
-    ``table`` the rows are brought to that table's schema.
-    """
-    raw = (
-        spark.read.option("header", True)
+
+def _csv_files(spark: SparkSession, header: bool):
+    return (
+        spark.read.option("header", header)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .option("mode", "PERMISSIVE")
         .option("ignoreCorruptFiles", True)
-        .option("enforceSchema", False)
-        .csv(folder)
     )
+
+
+def _header_cells(line: Column) -> Column:
+    return F.transform(F.split(line, ","), lambda c: F.btrim(c, F.lit(' "\r')))
+
+
+def read_csv_tree(
+    spark: SparkSession, folder: str, table: str | None = None, marker: str = "symbol"
+) -> DataFrame:
+    """All ``*.csv`` files below a folder, by header name; corrupt files are skipped.
+
+    Columns arrive as text, nothing is inferred.  Spark assigns CSV columns by position,
+    so the header lines (those with a cell ``marker``) are looked at first: if all files
+    agree they are read directly, otherwise each row is matched with its own file's
+    header.  With ``table`` the rows are brought to that table's schema.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .option("ignoreCorruptFiles", True)
+        .text(folder)
+    )
+    headers = lines.select(_header_cells(F.col("value")).alias("header")).filter(
+        F.array_contains("header", marker)
+    )
+    layouts = [row.header for row in headers.distinct().limit(2).collect()]
+    if not layouts:
+        raw = spark.createDataFrame([], StructType([StructField(marker, StringType())]))
+    elif len(layouts) == 1:
+        names = [name or f"_c{i}" for i, name in enumerate(layouts[0])]
+        text = StructType([StructField(n, StringType()) for n in names])
+        raw = _csv_files(spark, header=True).schema(text).csv(folder)
+    else:
+        raw = _csv_by_own_header(spark, folder, headers, marker)
     return raw if table is None else normalize(raw, table)
 
 
+def _csv_by_own_header(
+    spark: SparkSession, folder: str, headers: DataFrame, marker: str
+) -> DataFrame:
+    """Rows of files whose headers differ, each under the names of its own file."""
+    named = headers.select(F.explode("header").alias("name")).distinct().filter("name <> ''")
+    names = sorted(row.name for row in named.collect())  # columns of a table, not its rows
+    width = StructType([StructField(f"_c{i}", StringType()) for i in range(MAX_CSV_COLUMNS)])
+    cells = (
+        _csv_files(spark, header=False)
+        .schema(width)
+        .csv(folder)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.array(*[F.btrim(c) for c in width.names]).alias("cells"),
+        )
+    )
+    is_header = F.array_contains("cells", marker)
+    own = cells.filter(is_header).select("file", F.col("cells").alias("header"))
+    rows = cells.filter(F.coalesce(~is_header, F.lit(True))).join(own, "file")
+    place = {n: F.array_position("header", n) for n in names}
+    return rows.select(
+        *[
+            F.when(place[n] > 0, F.get("cells", (place[n] - 1).cast("int"))).alias(n)
+            for n in names
+        ]
+    )
+
+
 def seed_companies(statements: DataFrame) -> DataFrame:
     """Distinct symbols of a statement set; the scan reads only that column."""
     return statements.select("symbol").filter(F.col("symbol").isNotNull()).distinct()

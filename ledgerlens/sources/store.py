@@ -90,12 +90,12 @@ class VersionedStore:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def write_version(self, table: str, df: DataFrame, version: int) -> None:
-        """Write buckets of a table as a new, not yet visible version."""
+    def write_version(self, table: str, df: DataFrame, version: int, tasks: int) -> None:
+        """Write buckets of a table as a new, not yet visible version, one file a bucket."""
         order = [c for c in ("symbol", "date") if c in df.columns]
         (
             df.withColumn("bucket", self.bucket_of())
-            .repartition("bucket")
+            .repartition(tasks, "bucket")
             .sortWithinPartitions("bucket", *order)
             .write.mode("overwrite")
             .partitionBy("bucket")

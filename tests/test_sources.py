@@ -27,6 +27,26 @@ def test_csv_tree(spark, tmp_path):
     assert rows(readers.seed_companies(df)) == [("A",), ("B",)]
 
 
+def test_csv_tree_with_other_column_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(",symbol,revenue,period\n0,A,5,FY\n1,A2,6,\n")
+    (tmp_path / "b.csv").write_text('"revenue","symbol"\n"7","B"\n')
+    (tmp_path / "c.csv").write_text("symbol,note,revenue\nC,x,\n")
+    raw = readers.read_csv_tree(spark, str(tmp_path))
+    assert rows(raw.select("symbol", "revenue", "period", "note")) == [
+        ("A", "5", "FY", None),
+        ("A2", "6", None, None),
+        ("B", "7", None, None),
+        ("C", None, None, "x"),
+    ]
+    typed = readers.read_csv_tree(spark, str(tmp_path), "income_statement_fy")
+    assert rows(typed.select("symbol", "revenue")) == [("A", 5), ("A2", 6), ("B", 7), ("C", None)]
+
+
+def test_csv_tree_without_files(spark, tmp_path):
+    (tmp_path / "note.txt").write_text("symbol\nA\n")
+    assert readers.read_csv_tree(spark, str(tmp_path), "price").count() == 0
+
+
 def test_json_records_one_response_per_file(spark, tmp_path):
     records = [
         {"symbol": "A", "date": "2020-03-31", "calendarYear": "2020", "revenue": 5, "eps": 1.5, "new": 1},
