@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import quality_rules
+from ledgerlens.llm import quality_rules, sentence_pieces
 from ledgerlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,5 +17,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules,)}
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return sentence_pieces.digest(table(spark, sf_dir, "documents"), path)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces)}
 SQL: dict[str, str] = {"op1_quality_rules": quality_rules.JUDGED_SQL}
