@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import quality_rules, sentence_pieces
+from ledgerlens.llm import quality_rules, sentence_pieces, token_files
 from ledgerlens.llm.common import table
+from ledgerlens.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,5 +23,11 @@ def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digest(table(spark, sf_dir, "documents"), path)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces)}
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents")
+    return token_files.digest(docs, path, 2, work_folder(spark, "token-files"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op7_token_files)}
 SQL: dict[str, str] = {"op1_quality_rules": quality_rules.JUDGED_SQL}
