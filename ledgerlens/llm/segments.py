@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 
 #: Distinct segments that a worker remembers; then it starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

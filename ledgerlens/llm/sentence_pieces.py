@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import session_of
+from ledgerlens.llm.common import free_name, session_of
 from ledgerlens.llm.segments import SegmentCache, ranges
 
 SPACE = "▁"
@@ -238,9 +238,28 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     return rows.withColumn(text, texts(F.col(ids)))
 
 
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and the ``decoded`` text that these ids spell; one worker does both."""
+    session_of(docs)
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            own = model(path)
+            flat, counts = own.encode(texts.to_pylist())
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            spelt = [own.decode(flat[a:z].tolist()) for a, z in zip(offsets, offsets[1:], strict=False)]
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+            yield pa.StructArray.from_arrays([ids, pa.array(spelt, pa.string())], ["ids", "decoded"])
+
+    at = free_name(docs, "coded")
+    out = docs.withColumn(at, both(F.col(text)))
+    return out.withColumns({"ids": F.col(at)["ids"], "decoded": F.col(at)["decoded"]}).drop(at)
+
+
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """Per document: the number of ids, and hashes of the ids and of the decoded text."""
-    coded = decode(encode(docs.select("doc_id", "text"), path), path)
+    coded = round_trip(docs.select("doc_id", "text"), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
