@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import mixing, quality_rules, sentence_pieces, token_files
+from ledgerlens.llm import mixing, quality_rules, secrets, sentence_pieces, token_files
 from ledgerlens.llm.common import table
 from ledgerlens.session import work_folder
 
@@ -23,6 +23,10 @@ def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digest(table(spark, sf_dir, "documents"), path)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mixed(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -34,5 +38,5 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(docs, path, 2, work_folder(spark, "token-files"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op6_mixing, op7_token_files)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op3_secrets, op6_mixing, op7_token_files)}
 SQL: dict[str, str] = {"op1_quality_rules": quality_rules.JUDGED_SQL}
