@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, quality_rules, secrets, sentence_pieces, token_files
+from ledgerlens.llm import exact_topk, mixing, quality_rules, secrets, sentence_pieces, token_files
 from ledgerlens.llm.common import table
 from ledgerlens.session import work_folder
 
@@ -27,6 +28,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mixed(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -38,5 +43,5 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(docs, path, 2, work_folder(spark, "token-files"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op3_secrets, op6_mixing, op7_token_files)}
-SQL: dict[str, str] = {"op1_quality_rules": quality_rules.JUDGED_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op3_secrets, op5_exact_topk, op6_mixing, op7_token_files)}
+SQL: dict[str, str] = {"op1_quality_rules": quality_rules.JUDGED_SQL, "op5_exact_topk": exact_topk.SQL}
