@@ -7,6 +7,7 @@ each distinct segment is encoded once and texts are put together from the codes
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import chain, islice
 
 import numpy as np
 
@@ -21,29 +22,35 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+class Codes(dict):
+    """Numbers new keys in order."""
+
+    def __missing__(self, key: str) -> int:
+        code = self[key] = len(self)
+        return code
+
+
 class SegmentCache:
     """Encodes lists of segments; ``encode_new`` gives flat ids and their number by segment."""
 
-    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.encode_new = encode_new
+    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], remembered: int | None = None):
+        self.encode_new, self.remembered = encode_new, remembered
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Codes()
         self.flat = np.zeros(0, np.int32)
         self.lengths = np.zeros(0, np.int64)
 
     def encode(self, texts: Sequence[Sequence[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and the number of ids of each; a text is its segments."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > (self.remembered or REMEMBERED):
             self.clear()
         known = self.known
         first = len(known)
-        codes = np.fromiter(
-            (known.setdefault(s, len(known)) for t in texts for s in t), np.int64
-        )
+        codes = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64)
         if len(known) > first:
-            new = list(known)[first:]
+            new = list(islice(known, first, None))
             flat, lengths = self.encode_new(new)
             self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
             self.lengths = np.concatenate([self.lengths, lengths])

@@ -23,6 +23,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,12 @@ from ledgerlens.session import work_folder
 
 #: Text bytes that one part of the files takes about.
 PART_BYTES = 64 << 20
+#: Distinct segments, and stems, that a worker remembers.
+STEMS = 400_000
 #: Segments that the library gets as one text.
 LINES = 200
+#: Perhaps a line break, a word of letters up to U+024F, perhaps a mark.
+LATIN = re.compile("(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]?)").fullmatch
 CODED = "doc_id long, n_tokens long, codes binary"
 BLOCKS = "part int, block long, start long, doc_ids array<long>, lengths array<long>, control binary, data binary"
 #: Bytes that each of the four ids of a control byte takes, and which of four bytes are there.
@@ -64,51 +69,79 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class ByteTokenizer:
-    """The tokenizers library, asked for distinct segments only.
+    """The tokenizers library, asked for distinct stems only.
 
     A byte-level tokenizer cuts before a space that a non-space follows, and around a line break
     between non-spaces; texts with other neighbouring white space, or with the text of an added
-    token, go to the library whole.
+    token, go to the library whole.  A segment is a word after a space, written without it, or
+    the first word of a line, written with the break; a text is taken as a line.  A segment of
+    Latin letters, perhaps before a mark, is a line break, a stem and a mark, each a piece that
+    the model of the library merges by itself; other segments take the library's whole path.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.lib = Tokenizer.from_file(path)
         pre = self.lib.pre_tokenizer
-        plain = self.lib.normalizer is None and type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space
-        added = [re.escape(t.content) for t in self.lib.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"\s\s|\s\Z", *added]) if plain else "")
-        self.segment = re.compile(r" ?[^ \n]+|\n")
-        line = self.lib.encode("\n", add_special_tokens=False).ids
-        if len(line) != 1:
-            raise ValueError("a line break takes several ids")
-        self.line = line[0]
-        self.cache = SegmentCache(self.encode_lines)
-
-    def encode_lines(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [s for s in segments if s != "\n"]
-        flat, counts = self.encode_segments(plain) if plain else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        if len(plain) < len(segments):
-            at = segments.index("\n")
-            flat = np.insert(flat, int(counts[:at].sum()), self.line)
-            counts = np.insert(counts, at, 1)
-        return flat, counts
-
-    def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Some hundred segments go to the library as lines of one text; a line break is an id of
-        its own, by which they are parted again."""
-        lines = ["\n".join(segments[i : i + LINES]) for i in range(0, len(segments), LINES)]
-        lists = [e.ids for e in self.lib.encode_batch_fast(lines, add_special_tokens=False)]
-        flat = np.array([i for x in lists for i in (*x, self.line)], np.int64)
-        ends = np.flatnonzero(flat == self.line)
-        return flat[flat != self.line], np.diff(ends, prepend=-1) - 1
+        self.plain = self.lib.normalizer is None and type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space
+        self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
+        self.pieces = Tokenizer(self.lib.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        moved = [b for b in range(256) if b not in kept]
+        self.letters = {b: 256 + i for i, b in enumerate(moved)}  # how a byte-level model writes bytes
+        self.space, self.line = (chr(self.letters[ord(c)]) for c in " \n")
+        self.line_id = self.lib.token_to_id(self.line)
+        self.stems = SegmentCache(self.encode_stems, STEMS)
+        self.cache = SegmentCache(lambda new: self.stems.encode([self.stems_of(s) for s in new]), STEMS)
+
+    def segments(self, text: str | None) -> list[str]:
+        """Empty for a text that the library gets whole."""
+        if not text or not self.plain or any(t in text for t in self.added):
+            return []
+        if " ".join(text.split()) != text.replace("\n", " "):  # other white space than single spaces and breaks
+            return []
+        return ("\n" + text).replace("\n", " \n").split(" ")[1:]
+
+    def stems_of(self, segment: str) -> tuple[str, ...]:
+        """Pieces in the letters of the model; a segment of another kind stays one, after a NUL."""
+        if segment.isascii() and segment.isalpha():
+            return (self.space + segment,)
+        m = LATIN(segment)
+        if not m:
+            return ("\0" + segment,)
+        word = m[2] if m[2].isascii() else m[2].encode().decode("latin-1").translate(self.letters)
+        first = (self.line, word) if m[1] else (self.space + word,)
+        return (*first, m[3]) if m[3] else first
+
+    def encode_stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        pieces = iter(self.parted([s for s in stems if s[0] != "\0" and s != self.line]))
+        odd = iter(self.whole([s[1:] if s[1] == "\n" else " " + s[1:] for s in stems if s[0] == "\0"]))
+        lists = [next(odd) if s[0] == "\0" else [self.line_id] if s == self.line else next(pieces) for s in stems]
+        return np.array(list(chain.from_iterable(lists)), np.int64), np.array([len(x) for x in lists], np.int64)
+
+    def parted(self, pieces: list[str]) -> list[list[int]]:
+        """Some hundred pieces go to the library as one text; a line break is an id of its own, by
+        which they are parted again."""
+        out, between = [], f" {self.line} "
+        texts = [between.join(pieces[i : i + LINES]) for i in range(0, len(pieces), LINES)]
+        for e in self.pieces.encode_batch_fast(texts, add_special_tokens=False):
+            ids = e.ids
+            at = 0
+            for k in [i for i, x in enumerate(ids) if x == self.line_id] + [len(ids)]:
+                out.append(ids[at:k])
+                at = k + 1
+        return out
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        parts = [[] if not t or self.whole.search(t) else self.segment.findall(t) for t in texts]
+        parts = [self.segments(t) for t in texts]
         flat, counts = self.cache.encode(parts)
-        found = np.split(flat, np.cumsum(counts))[:-1]
+        found = [x[1:] for x in np.split(flat, np.cumsum(counts))[:-1]]  # without the added break
         for k, t in enumerate(texts):
             if t and not parts[k]:
                 found[k] = np.array(self.lib.encode(t, add_special_tokens=False).ids, np.int32)

@@ -61,7 +61,7 @@ def test_any_text(texts):
 
 @pytest.mark.parametrize("limit", [1, 7])
 def test_cleared_cache_changes_nothing(limit, monkeypatch):
-    monkeypatch.setattr("ledgerlens.llm.segments.REMEMBERED", limit)
+    monkeypatch.setattr(T, "STEMS", limit)
     monkeypatch.setattr(T, "LINES", 2)
     own = T.ByteTokenizer(PATH)
     for _, t in ROWS:
