@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_topk, mixing, quality_rules, secrets, sentence_pieces, token_files, url_filters
+from ledgerlens.llm import exact_topk, mixing, quality_rules, secrets, sentence_pieces, token_files, toxicity, url_filters
 from ledgerlens.llm.common import table
 from ledgerlens.session import work_folder
 
@@ -28,6 +28,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
@@ -49,5 +53,5 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judged(pages, rules).drop("url")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op3_secrets, op5_exact_topk, op6_mixing, op7_token_files, op10_url_filters)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op3_secrets, op4_toxicity, op5_exact_topk, op6_mixing, op7_token_files, op10_url_filters)}
 SQL: dict[str, str] = {"op1_quality_rules": quality_rules.JUDGED_SQL, "op5_exact_topk": exact_topk.SQL, "op10_url_filters": url_filters.SQL}
