@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_topk, mixing, quality_rules, secrets, sentence_pieces, token_files, toxicity, url_filters
+from ledgerlens.llm import exact_topk, language_id, mixing, quality_rules, secrets, sentence_pieces, token_files, toxicity, url_filters
 from ledgerlens.llm.common import table
 from ledgerlens.session import work_folder
 
@@ -47,11 +47,15 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(docs, path, 2, work_folder(spark, "token-files"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(url_filters.RULES, "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filters.judged(pages, rules).drop("url")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op3_secrets, op4_toxicity, op5_exact_topk, op6_mixing, op7_token_files, op10_url_filters)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op3_secrets, op4_toxicity, op5_exact_topk, op6_mixing, op7_token_files, op9_language_id, op10_url_filters)}
 SQL: dict[str, str] = {"op1_quality_rules": quality_rules.JUDGED_SQL, "op5_exact_topk": exact_topk.SQL, "op10_url_filters": url_filters.SQL}
