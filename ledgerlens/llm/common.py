@@ -35,10 +35,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_join(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join with a stored side: broadcast where its row count is under ``BROADCAST_ROWS``,
-    else an equi-join whose hot keys Spark splits at run time."""
-    few = side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+def small_join(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join with a stored side: broadcast where its row count is at most ``rows``, else an
+    equi-join whose hot keys Spark splits at run time."""
+    few = side.limit(rows + 1).count() <= rows
     return df.join(F.broadcast(side) if few else side, list(on), how)
 
 
