@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import session_of, small_join
-from ledgerlens.llm.segments import SegmentCache
+from ledgerlens.llm.segments import SegmentCache, ranges
 from ledgerlens.session import work_folder
 
 #: Text bytes that one part of the files takes about.
@@ -48,24 +48,32 @@ BLOCKS = "part int, block long, start long, doc_ids array<long>, lengths array<l
 #: Bytes that each of the four ids of a control byte takes, and which of four bytes are there.
 WIDTHS = 1 + ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3)
 PRESENT = np.arange(4) < WIDTHS[:, :, None]
+PRESENT_IN_TWO = np.ascontiguousarray(PRESENT[:, :, :2])
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data stream of unsigned 32-bit values."""
     values = values.astype("<u4")
-    extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    extra = (values > 0xFF).astype(np.uint8)
+    most = int(values.max(initial=0))
+    if most > 0xFFFF:
+        extra += (values > 0xFFFF).astype(np.uint8) + (values > 0xFFFFFF)
     fours = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     fours[: len(values)] = extra
     control = (fours.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    there = np.arange(4) <= extra[:, None]
-    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[there].tobytes()
+    lanes, kind = (4, "<u4") if most > 0xFFFF else (2, "<u2")
+    there = np.arange(lanes, dtype=np.uint8) <= extra[:, None]
+    return control.tobytes(), values.astype(kind).view(np.uint8).reshape(-1, lanes)[there].tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    there = PRESENT[np.frombuffer(control, np.uint8)].reshape(-1, 4)[:n]
-    out = np.zeros((n, 4), np.uint8)
+    control = np.frombuffer(control, np.uint8)
+    wide = (control & 0b10101010).any()  # of more than two bytes
+    lanes, kind, table = (4, "<u4", PRESENT) if wide else (2, "<u2", PRESENT_IN_TWO)
+    there = table[control].reshape(-1, lanes)[:n]
+    out = np.zeros((n, lanes), np.uint8)
     out[there] = np.frombuffer(data, np.uint8)
-    return out.view("<u4").ravel()
+    return out.view(kind).ravel().astype("<u4")
 
 
 class ByteTokenizer:
@@ -93,7 +101,8 @@ class ByteTokenizer:
         moved = [b for b in range(256) if b not in kept]
         self.letters = {b: 256 + i for i, b in enumerate(moved)}  # how a byte-level model writes bytes
         self.space, self.line = (chr(self.letters[ord(c)]) for c in " \n")
-        self.line_id = self.lib.token_to_id(self.line)
+        self.begins = np.zeros(self.lib.get_vocab_size(), bool)
+        self.begins[[i for t, i in self.lib.get_vocab().items() if t[0] == self.space]] = True
         self.stems = SegmentCache(self.encode_stems, STEMS)
         self.cache = SegmentCache(lambda new: self.stems.encode([self.stems_of(s) for s in new]), STEMS)
 
@@ -117,23 +126,30 @@ class ByteTokenizer:
         return (*first, m[3]) if m[3] else first
 
     def encode_stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        pieces = iter(self.parted([s for s in stems if s[0] != "\0" and s != self.line]))
+        """Stems after a space go to the library some hundred at a time; a new one begins where an
+        id begins with the space."""
+        spaced, other = [], []
+        for i, s in enumerate(stems):
+            (spaced if s[0] == self.space else other).append(i)
+        texts = [" ".join(map(stems.__getitem__, spaced[i : i + LINES])) for i in range(0, len(spaced), LINES)]
+        ids = [e.ids for e in self.pieces.encode_batch_fast(texts, add_special_tokens=False)]
+        joined = np.array(list(chain.from_iterable(ids)), np.int64)
+        begins = np.flatnonzero(self.begins[joined])
+        lists = self.others([stems[i] for i in other])
+        lengths = np.zeros(len(stems), np.int64)
+        lengths[spaced] = np.diff(begins, append=len(joined))
+        lengths[other] = [len(x) for x in lists]
+        starts = np.cumsum(lengths) - lengths
+        flat = np.zeros(lengths.sum(), np.int64)
+        flat[ranges(starts[spaced], lengths[spaced])] = joined
+        flat[ranges(starts[other], lengths[other])] = list(chain.from_iterable(lists))
+        return flat, lengths
+
+    def others(self, stems: list[str]) -> list[list[int]]:
         odd = iter(self.whole([s[1:] if s[1] == "\n" else " " + s[1:] for s in stems if s[0] == "\0"]))
-        lists = [next(odd) if s[0] == "\0" else [self.line_id] if s == self.line else next(pieces) for s in stems]
-        return np.array(list(chain.from_iterable(lists)), np.int64), np.array([len(x) for x in lists], np.int64)
-
-    def parted(self, pieces: list[str]) -> list[list[int]]:
-        """Some hundred pieces go to the library as one text; a line break is an id of its own, by
-        which they are parted again."""
-        out, between = [], f" {self.line} "
-        texts = [between.join(pieces[i : i + LINES]) for i in range(0, len(pieces), LINES)]
-        for e in self.pieces.encode_batch_fast(texts, add_special_tokens=False):
-            ids = e.ids
-            at = 0
-            for k in [i for i, x in enumerate(ids) if x == self.line_id] + [len(ids)]:
-                out.append(ids[at:k])
-                at = k + 1
-        return out
+        plain = [s for s in stems if s[0] != "\0"]
+        pieces = iter([e.ids for e in self.pieces.encode_batch_fast(plain, add_special_tokens=False)])
+        return [next(odd if s[0] == "\0" else pieces) for s in stems]
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
@@ -180,11 +196,10 @@ def frequencies(tokens: DataFrame, kind: str) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for codes in b["codes"]:
-                more = np.bincount(np.frombuffer(codes.as_buffer(), kind))
-                if len(more) > len(total):
-                    total, more = more, total
-                total[: len(more)] += more
+            more = np.bincount(np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in b["codes"]]))
+            if len(more) > len(total):
+                total, more = more, total
+            total[: len(more)] += more
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there])], ["id", "count"])
 
