@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import free_name, held_out, session_of
+from ledgerlens.llm.common import free_name, held_out, session_of, stored
 
 #: Texts that the model is fitted on, and features that it may know.
 POSITIVE, UNLABELLED, VOCABULARY = 2_000, 8_000, 2_000
@@ -86,28 +86,13 @@ class Texts:
         return out
 
 
-def telling(positive: list[set[str]], unlabelled: list[set[str]]) -> list[str]:
-    """Features whose share of toxic texts differs from their share of all texts by at least
-    ``LEAST_Z`` standard errors, the farthest first."""
-    in_p, in_u = (Counter(w for t in texts for w in t) for texts in (positive, unlabelled))
-    n_p, n_u = len(positive), len(unlabelled)
-
-    def z(w: str) -> float:
-        share = (in_p[w] + in_u[w] + 1) / (n_p + n_u + 2)
-        return abs(in_p[w] / n_p - in_u[w] / n_u) / np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
-
-    far = {w: z(w) for w in in_p if in_p[w] + in_u[w] >= LEAST_TEXTS}
-    return sorted((w for w in far if far[w] >= LEAST_Z), key=lambda w: (-far[w], w))[:VOCABULARY]
-
-
-def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float) -> Model:
-    """Minimise the risk by Adam; the last weight is the intercept."""
-    often = telling(positive, unlabelled)
-    number = {w: i for i, w in enumerate(often)}
+def fit(positive: list[set[str]], unlabelled: list[set[str]], names: list[str], prior: float) -> Model:
+    """Minimise the risk over the features ``names`` by Adam; the last weight is the intercept."""
+    number = {w: i for i, w in enumerate(names)}
     p_all, u_all = Texts(positive, number), Texts(unlabelled, number)
     of = BATCHES if min(p_all.n, u_all.n) >= 50 * BATCHES else 1
     batches = [(p_all.part(k, of), u_all.part(k, of)) for k in range(of)]
-    size = len(often) + 1
+    size = len(names) + 1
     w, first, second = np.zeros(size), np.zeros(size), np.zeros(size)
     w[-1] = np.log(prior / (1 - prior))
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -500, 500)))
@@ -129,18 +114,30 @@ def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float) -> M
     return Model({x: float(w[i]) for x, i in number.items() if w[i]}, float(w[-1]))
 
 
-def sample(docs: DataFrame, ids: DataFrame, most: int, text: str) -> list[set[str]]:
-    """Word sets of the ``most`` ids first by hash; only ids are sorted, never texts."""
+def sample(docs: DataFrame, ids: DataFrame, most: int, text: str) -> DataFrame:
+    """(doc_id, text) of the ``most`` ids first by hash; only ids are sorted, never texts."""
     chosen = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
+
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def telling(texts: DataFrame, n_p: int, n_u: int) -> list[str]:
+    """Features whose share of toxic texts differs from their share of all texts by at least
+    ``LEAST_Z`` standard errors, the farthest first; ``texts`` has text and toxic."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "words": [sorted(features(t)) for t in b["text"]]})
+            n: dict[bool, Counter] = {True: Counter(), False: Counter()}
+            for t, toxic in zip(b["text"], b["toxic"], strict=True):
+                n[toxic].update(features(t))
+            rows = [(w, n[True][w], n[False][w]) for w in n[True] | n[False]]
+            if rows:
+                yield pd.DataFrame(rows, columns=["feature", "p", "u"])
 
-    # As many rows as the sample holds, in a fixed order.
-    found = rows.mapInPandas(sets, "doc_id long, words array<string>").collect()
-    return [set(r["words"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["words"]))]
+    counts = texts.select("text", "toxic").mapInPandas(count, "feature string, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    share = (F.col("p") + F.col("u") + 1) / (n_p + n_u + 2)
+    z = F.abs(F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
+    far = counts.filter((F.col("p") + F.col("u") >= LEAST_TEXTS) & (F.col("p") > 0)).withColumn("z", z).filter(F.col("z") >= LEAST_Z)
+    return [r["feature"] for r in far.orderBy(F.desc("z"), "feature").limit(VOCABULARY).collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text") -> Model:
@@ -153,10 +150,23 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text")
     prior = min(max(n["toxic"] / n["all"], 1e-4), 1 - 1e-4)
     ids = docs.filter(learn & F.col("doc_id").isNotNull()).select("doc_id")
     toxic = ids.join(known.filter("toxic = 1").select("doc_id"), "doc_id", "left_semi")
-    positive, unlabelled = sample(docs, toxic, POSITIVE, text), sample(docs, ids, UNLABELLED, text)
-    if not positive:
+    texts = sample(docs, toxic, POSITIVE, text).withColumn("toxic", F.lit(True))
+    texts = stored(texts.union(sample(docs, ids, UNLABELLED, text).withColumn("toxic", F.lit(False))), "toxic-sample")
+    size = texts.agg(F.count_if("toxic").alias("p"), F.count_if(~F.col("toxic")).alias("u")).first()
+    if not size["p"]:
         return Model({}, float(np.log(prior / (1 - prior))))
-    return fit(positive, unlabelled, prior)
+    names = telling(texts, size["p"], size["u"])
+    wanted = frozenset(names)
+
+    def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "features": [sorted(wanted & features(t)) for t in b["text"]]})
+
+    # A row for each text of the sample, with the chosen features only, in a fixed order.
+    rows = texts.mapInPandas(reduced, "doc_id long, toxic boolean, features array<string>").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["features"]))
+    positive, unlabelled = ([set(r["features"]) for r in rows if r["toxic"] == side] for side in (True, False))
+    return fit(positive, unlabelled, names, prior)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -27,7 +27,8 @@ def test_learns_from_positives_and_unlabelled_alone():
     rows = made(2500)
     positive = [T.features(t) for _, t, y in rows if y][:150]
     unlabelled = [T.features(t) for _, t, _ in rows[:1200]]
-    model = T.fit(positive, unlabelled, 0.2)
+    names = sorted(f for f in set().union(*positive) if sum(f in t for t in positive) >= 20)
+    model = T.fit(positive, unlabelled, names, 0.2)
     rest = rows[1200:]
     s, y = model.scores(t for _, t, _ in rest), np.array([r[2] for r in rest])
     assert (s[y == 1] >= T.THRESHOLD).mean() > 0.9
