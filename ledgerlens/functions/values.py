@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, IntegralType
 
 #: decimals at which floating-point values count as equal
 COMPARE_DECIMALS = 4
@@ -62,4 +62,8 @@ def try_value(column: Column, source: DataType, target: DataType) -> Column:
         return parse_date(column)
     if is_text and kind == "timestamp_ntz":
         return parse_timestamp(column)
+    if is_text and isinstance(target, IntegralType):
+        # Integers may be spelt as floats ("123.0", "1.2E9"); a decimal keeps all digits.
+        wide = column.try_cast(DecimalType(38, 6)).try_cast(target)
+        return F.coalesce(column.try_cast(target), wide)
     return column.try_cast(target)

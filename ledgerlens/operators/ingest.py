@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ledgerlens import schemas
 from ledgerlens.operators import keys, upsert
 from ledgerlens.operators.normalize import normalize
+from ledgerlens.operators.statements import shares_from_income
 from ledgerlens.sources.readers import read_csv_tree, seed_companies
-from ledgerlens.sources.store import VersionedStore
+from ledgerlens.sources.store import CommitConflict, Layout, VersionedStore
 
 
 def _dataset_of(table: str) -> str:
@@ -56,19 +57,27 @@ def _company_ids(symbols: Mapping[str, DataFrame], stored: DataFrame) -> DataFra
     return known.unionByName(keys.stub_companies(every, stored))
 
 
-def ingest(store: VersionedStore, raw: Mapping[str, DataFrame]) -> DataFrame:
+#: attempts of a run whose commits collide with those of other runs
+ATTEMPTS = 10
+
+
+def ingest(store: VersionedStore, raw: Mapping[str, DataFrame], log: bool = True) -> DataFrame:
     """Upsert provider batches (stored table name to rows) in one commit.
 
-    A symbol with an invalid row in any batch is left out of all tables.  Returns the
-    status per symbol.  Running the same batches again changes nothing.
+    A symbol with an invalid row in any batch is left out of all tables.  Fiscal-year income
+    also fills ``shares_fy``.  Returns the status per symbol; with ``log`` the changes of the run
+    are added to ``change_log(store)``, which costs a second pass over the joins.  Running the same batches again changes nothing.
+
+    Several runs may work on one store.  Whoever commits second reads the layout again: if the
+    other run left its buckets and the companies alone, the same files are committed on top of
+    it; else the run merges anew with what is stored now.
     """
-    last, layout = store.current()
-    version = last + 1
+    run = store.new_run()
     batches = {
-        table: store.stage(table, normalize(df, table, fill_missing=False), version)
+        table: store.stage(table, normalize(df, table, False, schemas.LANDING), run)
         for table, df in raw.items()
     }
-    status = store.stage("status", ingest_status(batches), version)
+    status = store.record("status", ingest_status(batches), run)
     failed = status.filter(~F.col("ok")).select("symbol")
     # Distinct symbols and de-duplicated rows both combine before the shuffle, so a symbol
     # that landed very many times does not meet in one task.
@@ -79,27 +88,89 @@ def ingest(store: VersionedStore, raw: Mapping[str, DataFrame]) -> DataFrame:
         .join(failed, "symbol", "left_anti")
         for table, batch in batches.items()
     }
-    stored_companies = store.read("company", layout=layout)
-    ids = store.stage("company_ids", _company_ids(symbols, stored_companies), version)
+    base, layout = store.current()
+    written = None
+    for _ in range(ATTEMPTS):
+        if written is None:
+            files = store.new_run()
+            written = _merge(store, batches, symbols, failed, layout, files, log)
+        if not any(written.values()):
+            break
+        try:
+            store.commit(base, layout, written, files)
+            break
+        except CommitConflict:
+            base, now = store.current()
+            if _meet(layout, now, written):
+                store.drop_staging(files)
+                written = None
+            layout = now
+    else:
+        raise CommitConflict(f"gave up after {ATTEMPTS} attempts")
+    if log and any(written.values()):
+        store.record("change_log", store.spark.read.parquet(f"{store.root}/_staging/run={files}/changes"), run)
+    store.drop_staging(run)
+    store.drop_staging(files)
+    return status
+
+
+def _meet(before: Layout, now: Layout, written: Mapping[str, Iterable[int]]) -> bool:
+    """Whether another run changed the companies, which ids are counted on, or a written bucket."""
+    if before.get("company") != now.get("company"):
+        return True
+    return any(
+        before.get(t, {}).get(b) != now.get(t, {}).get(b) for t, bs in written.items() for b in bs
+    )
+
 
+def _merge(
+    store: VersionedStore, batches: Mapping[str, DataFrame], symbols: Mapping[str, DataFrame],
+    failed: DataFrame, layout: Layout, files: str, log: bool,
+) -> dict[str, list[int]]:
+    """Write the touched buckets of all tables as version ``files``; returns the buckets."""
+    stored_companies = store.read("company", layout=layout)
+    ids = store.stage("company_ids", _company_ids(symbols, stored_companies), files)
     prepared = {"company": ids}
     for table, batch in batches.items():
-        deduped = upsert.dedup_batch(batch, keys_of(table, batch.columns))
-        good = deduped.join(failed, "symbol", "left_anti")
+        landing = [c for c in schemas.LANDING if c in batch.columns]
+        by = keys_of(table, batch.columns)
+        good = upsert.latest_cells(batch, by, landing).join(failed, "symbol", "left_anti")
         if table == "company":
             prepared[table] = ids.join(good, "symbol", "left")
         else:
             prepared[table] = keys.fk_resolve(good.filter("symbol IS NOT NULL"), ids)
-
-    touched = store.touched({**symbols, "company": ids})
+    symbols = {**symbols, "company": ids}
+    income = prepared.get("income_statement_fy")
+    if income is not None and {"date", "weightedaverageshsoutdil"} <= set(income.columns):
+        shares = shares_from_income(income.filter("date IS NOT NULL"))
+        prepared["shares_fy"] = upsert.latest_cells(shares, ["symbol", "date"])
+        symbols["shares_fy"] = symbols["income_statement_fy"]
+
+    touched = store.touched(symbols)
+    logs = []
     for table, buckets in touched.items():
         stored = store.read(table, buckets, layout)
-        by = keys_of(table, prepared[table].columns)
+        by = ["symbol", "date"] if table == "shares_fy" else keys_of(table, prepared[table].columns)
+        if log:
+            logs.append(_log(upsert.change_log(prepared[table], stored, by, table), by))
         merged = upsert.apply_batch(prepared[table], stored, by)
-        store.write_version(table, merged, version, len(buckets))
-    if touched:
-        store.commit(version, layout, touched)
-    return status
+        store.write_version(table, merged, files, len(buckets))
+    if logs:
+        store.stage("changes", reduce(DataFrame.unionByName, logs), files)
+    return touched
+
+
+def _log(log: DataFrame, by: list[str]) -> DataFrame:
+    key = F.to_json(F.struct(*by)).alias("key")
+    return log.select("table_name", "symbol", key, "op", "changed_columns")
+
+
+def change_log(store: VersionedStore) -> DataFrame:
+    """Inserted and updated keys of all committed runs: run, table_name, symbol, key (JSON), op
+    and changed_columns."""
+    path = f"{store.root}/_runs/run=*/change_log"
+    logs = store.spark.read.option("basePath", f"{store.root}/_runs").parquet(path)
+    return logs.select("run", "table_name", "symbol", "key", "op", "changed_columns")
 
 
 # Folders of the local statement files and the tables they fill.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,10 @@ def rename_lower(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def project_declared(df: DataFrame, table: str, fill_missing: bool = True) -> DataFrame:
-    """Keep the declared columns only.
+def project_declared(
+    df: DataFrame, table: str, fill_missing: bool = True, keep: Collection[str] = ()
+) -> DataFrame:
+    """Keep the declared columns only, and those of ``keep`` that are there.
 
     A declared column not in the batch is NULL, or left out without ``fill_missing``.
     """
@@ -28,7 +30,8 @@ def project_declared(df: DataFrame, table: str, fill_missing: bool = True) -> Da
             F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schemas.table_schema(table).fields
             if f.name not in schemas.SURROGATES and (fill_missing or f.name in present)
-        ]
+        ],
+        *[c for c in keep if c in present],
     )
 
 
@@ -63,7 +66,9 @@ def add_columns(df: DataFrame, columns: Mapping[str, str | DataType]) -> DataFra
     )
 
 
-def normalize(df: DataFrame, table: str, fill_missing: bool = True) -> DataFrame:
+def normalize(
+    df: DataFrame, table: str, fill_missing: bool = True, keep: Collection[str] = ()
+) -> DataFrame:
     """Rename, project, cast and clear NaN: one narrow projection over the batch."""
-    projected = project_declared(rename_lower(df), table, fill_missing)
+    projected = project_declared(rename_lower(df), table, fill_missing, keep)
     return nan_to_null(cast_declared(projected, table))

@@ -16,6 +16,8 @@ from ledgerlens.functions.values import differs
 from ledgerlens.operators.manifest import first_row_per_key
 
 INSERT, UPDATE, SAME = "insert", "update", "same"
+#: columns that tell a restated statement from an older one, most telling first
+FILING_DATES = ("accepteddate", "fillingdate")
 
 
 def dedup_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -28,6 +30,23 @@ def dedup_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
     return first_row_per_key(batch, keys, [*order, *rest] or list(keys))
 
 
+def latest_cells(batch: DataFrame, keys: Sequence[str], landing: Sequence[str] = ()) -> DataFrame:
+    """One row per key: for each cell the last value that is not NULL.
+
+    Rows are ordered by the ``landing`` columns (dropped from the result), then by the dates a
+    statement was filed on, then by a hash of their values.  This is what applying the rows one
+    after another gives, so it does not matter how they are cut into batches.  Maxima combine on
+    the map side: a key with very many rows does not meet in one task.
+    """
+    values = [c for c in batch.columns if c not in {*keys, *landing}]
+    if not values:
+        return batch.select(*keys).distinct()
+    filed = [c for c in FILING_DATES if c in values]
+    place = F.struct(*landing, *filed, F.xxhash64(*values).alias("_hash"))
+    cells = [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in values]
+    return batch.groupBy(*keys).agg(*cells).select(*[c for c in batch.columns if c not in landing])
+
+
 def _value_columns(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> list[str]:
     known = set(stored.columns)
     return [c for c in batch.columns if c in known and c not in keys]

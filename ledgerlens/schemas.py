@@ -86,7 +86,7 @@ operatingCashFlow bigint, capitalExpenditure bigint, freeCashFlow bigint,
 link string, finalLink string
 """
 
-SHARES = "company_id bigint, date date, numberofshares bigint"
+SHARES = "company_id bigint, symbol string, date date, numberofshares bigint"
 
 PRICE = """
 id bigint, company_id bigint, symbol string, date date, open double, high double,
@@ -115,6 +115,18 @@ DATASETS = {
     "historical-price-eod/full": ("price", False),
 }
 
+# Columns that identify a row of a dataset; ``period`` counts where a batch has it.
+MERGE_KEYS = {
+    "profile": ("symbol",),
+    "income-statement": ("symbol", "calendaryear", "period"),
+    "balance-sheet-statement": ("symbol", "calendaryear", "period"),
+    "cash-flow-statement": ("symbol", "calendaryear", "period"),
+    "historical-price-eod/full": ("symbol", "date"),
+}
+
+#: when and from which file a row landed; orders rows of one key, never stored
+LANDING = ("_landed_at", "_landed_file")
+
 PERIODS = ("quarter", "fy")
 
 #: columns the engine assigns itself; never part of a provider batch
@@ -174,12 +186,8 @@ def table_for(dataset: str, period: str) -> str:
 
 def merge_keys(dataset: str, columns: Iterable[str]) -> list[str]:
     """Columns that identify a row of the dataset."""
-    if dataset == "profile":
-        return ["symbol"]
-    if dataset == "historical-price-eod/full":
-        return ["symbol", "date"]
-    keys = ["symbol", "calendaryear"]
-    return keys + ["period"] if "period" in set(columns) else keys
+    optional = {"period"} - set(columns)
+    return [key for key in MERGE_KEYS[dataset] if key not in optional]
 
 
 def select_tables(names: Sequence[str] | None = None) -> list[str]:

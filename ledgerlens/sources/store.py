@@ -7,19 +7,27 @@ see the tables of one commit only: a run that fails half-way is invisible.
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas
 from ledgerlens.sources.writers import MIN_BUCKETS
 
-Layout = dict[str, dict[int, int]]
+#: per table and bucket, the run whose files hold its rows
+Layout = dict[str, dict[int, str]]
 
-COMMIT_SCHEMA = "table_name string, bucket int, version int, commit int"
+COMMIT_SCHEMA = "table_name string, bucket int, version string, commit int"
+
+
+class CommitConflict(Exception):
+    """Another run committed the same number first."""
 
 
 class VersionedStore:
@@ -33,17 +41,31 @@ class VersionedStore:
     def bucket_of(self, symbol: Column | str = "symbol") -> Column:
         return F.pmod(F.hash(symbol), F.lit(self.buckets)).cast("int")
 
+    def _hadoop(self, path: str):
+        """The file system of a path, and the path as it takes it."""
+        jvm = self.spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def _numbers(self) -> list[int]:
+        fs, folder = self._hadoop(f"{self.root}/_commits")
+        if not fs.exists(folder):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(folder)]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0] != ".")
+
     def current(self) -> tuple[int, Layout]:
-        """Latest commit number and its layout; bounded by tables times buckets."""
-        try:
-            commits = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/_commits")
-        except AnalysisException:
-            return 0, {}
-        last = commits.agg(F.max("commit")).first()[0] or 0
+        """Latest commit number and its layout, read from the newest commit file alone; bounded by
+        tables times buckets."""
+        numbers = self._numbers()
+        return (numbers[-1], self.layout_at(numbers[-1])) if numbers else (0, {})
+
+    def layout_at(self, number: int) -> Layout:
         layout: Layout = {}
-        for row in commits.filter(F.col("commit") == last).collect():
+        file = f"{self.root}/_commits/{number:010d}.json"
+        for row in self.spark.read.schema(COMMIT_SCHEMA).json(file).collect():
             layout.setdefault(row.table_name, {})[row.bucket] = row.version
-        return last, layout
+        return layout
 
     def read(
         self,
@@ -80,17 +102,31 @@ class VersionedStore:
             found.setdefault(row.table_name, []).append(row.bucket)
         return {t: sorted(b) for t, b in found.items()}
 
-    def stage(self, name: str, df: DataFrame, version: int) -> DataFrame:
+    def new_run(self) -> str:
+        """Name of a run, its own also among runs at the same time."""
+        return f"{int(time.time() * 1000):014d}-{uuid.uuid4().hex[:8]}"
+
+    def stage(self, name: str, df: DataFrame, run: str) -> DataFrame:
         """Write an intermediate result beside the tables and read it back.
 
         Later steps scan typed columns instead of parsing the raw files again, and a
         lost executor costs a re-read, not a recomputation.
         """
-        path = f"{self.root}/_staging/version={version}/{name}"
+        return self._written(f"{self.root}/_staging/run={run}/{name}", df)
+
+    def record(self, name: str, df: DataFrame, run: str) -> DataFrame:
+        """Write a result of a run that stays: its status and its change log."""
+        return self._written(f"{self.root}/_runs/run={run}/{name}", df)
+
+    def _written(self, path: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def write_version(self, table: str, df: DataFrame, version: int, tasks: int) -> None:
+    def drop_staging(self, run: str) -> None:
+        fs, path = self._hadoop(f"{self.root}/_staging/run={run}")
+        fs.delete(path, True)
+
+    def write_version(self, table: str, df: DataFrame, run: str, tasks: int) -> None:
         """Write buckets of a table as a new, not yet visible version, one file a bucket."""
         order = [c for c in ("symbol", "date") if c in df.columns]
         (
@@ -99,18 +135,51 @@ class VersionedStore:
             .sortWithinPartitions("bucket", *order)
             .write.mode("overwrite")
             .partitionBy("bucket")
-            .parquet(f"{self.root}/{table}/version={version}")
+            .parquet(f"{self.root}/{table}/version={run}")
         )
 
-    def commit(self, number: int, layout: Layout, written: Mapping[str, Iterable[int]]) -> None:
-        """Make the written buckets visible, all tables at once."""
+    def commit(self, base: int, layout: Layout, written: Mapping[str, Iterable[int]], run: str) -> int:
+        """Make the written buckets visible on top of commit ``base``, all tables at once.
+
+        The commit file is created only if it does not exist; this is as exclusive as the file
+        system's create without overwriting.  Raises ``CommitConflict`` if another run was first.
+        """
+        number = base + 1
         merged = {t: dict(b) for t, b in layout.items()}
         for table, buckets in written.items():
-            merged.setdefault(table, {}).update({b: number for b in buckets})
-        rows = [(t, b, v, number) for t, bs in merged.items() for b, v in bs.items()]
-        (
-            self.spark.createDataFrame(rows, COMMIT_SCHEMA)
-            .coalesce(1)
-            .write.mode("append")
-            .json(f"{self.root}/_commits")
-        )
+            merged.setdefault(table, {}).update({b: run for b in buckets})
+        lines = [
+            json.dumps({"table_name": t, "bucket": b, "version": v, "commit": number})
+            for t, bs in merged.items()
+            for b, v in bs.items()
+        ]
+        fs, path = self._hadoop(f"{self.root}/_commits/{number:010d}.json")
+        try:
+            out = fs.create(path, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error) or fs.exists(path):
+                raise CommitConflict(number) from error
+            raise
+        out.write(bytearray(("\n".join(lines) + "\n").encode()))
+        out.close()
+        return number
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete the versions that none of the last ``keep`` commits reads, and older commits.
+
+        For a store that no run is writing to; returns the deleted folders.
+        """
+        numbers = self._numbers()
+        kept = {(t, v) for n in numbers[-keep:] for t, bs in self.layout_at(n).items() for v in bs.values()}
+        gone = []
+        for table in schemas.TABLES:
+            fs, folder = self._hadoop(f"{self.root}/{table}")
+            for f in fs.listStatus(folder) if fs.exists(folder) else []:
+                name = f.getPath().getName()
+                if name.startswith("version=") and (table, name.removeprefix("version=")) not in kept:
+                    fs.delete(f.getPath(), True)
+                    gone.append(f"{table}/{name}")
+        for n in numbers[:-keep]:
+            fs, path = self._hadoop(f"{self.root}/_commits/{n:010d}.json")
+            fs.delete(path, False)
+        return gone

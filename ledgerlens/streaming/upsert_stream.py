@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlens import schemas
@@ -21,7 +22,9 @@ def stream_upsert(
 
     Files hold provider records as JSON, one record or one array a line.  The checkpoint
     gives each file to one micro-batch; a batch that is replayed after a failure meets
-    its own rows and changes nothing.  Returns the finished query.
+    its own rows and changes nothing.  Rows of one key are ordered by the time and name of their
+    files, so the result does not depend on the number of files a batch.  Returns the finished
+    query.
     """
     names = [f.name for f in schemas.provider_schema(table).fields]
     text = StructType([StructField(n, StringType()) for n in names])
@@ -32,8 +35,10 @@ def stream_upsert(
     def upsert_files(batch: DataFrame, _batch_id: int) -> None:
         ingest(VersionedStore(batch.sparkSession, store.root, store.buckets), {table: batch})
 
+    at, file = schemas.LANDING
     query = (
         reader.json(landing)
+        .select("*", F.col("_metadata.file_modification_time").alias(at), F.col("_metadata.file_path").alias(file))
         .writeStream.foreachBatch(upsert_files)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

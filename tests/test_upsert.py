@@ -2,11 +2,13 @@
 
 import datetime
 import json
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import ingest, keys, upsert
-from ledgerlens.sources.store import VersionedStore
+from ledgerlens.sources.store import CommitConflict, VersionedStore
 from ledgerlens.streaming.upsert_stream import stream_upsert
 from tests.conftest import rows
 
@@ -228,3 +230,77 @@ def test_stream_upserts_each_file_once(spark, tmp_path):
     commits, _ = store.current()
     assert run() == [("A", "2019-12-31", 1.0, 5), ("A", "2020-01-02", 1.6, 10)]
     assert store.current()[0] == commits
+
+
+RESTATED = [("500", None), ("100", "7"), ("900", None)]
+
+
+@pytest.mark.parametrize("files_per_batch", [1, None])
+def test_stream_result_does_not_depend_on_files_per_batch(spark, tmp_path, files_per_batch):
+    store = VersionedStore(spark, str(tmp_path / "store"), buckets=2)
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for k, (revenue, net) in enumerate(RESTATED):
+        record = {"symbol": "A", "date": "2020-03-31", "calendarYear": "2020.0", "period": "Q1", "revenue": revenue + ".0", "netIncome": net}
+        path = landing / f"{k}.json"
+        path.write_text(json.dumps(record) + "\n")
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    stream_upsert(store, str(landing), "income_statement_quarter", str(tmp_path / "checkpoint"), files_per_batch)
+    found = store.read("income_statement_quarter").select("symbol", "calendaryear", "revenue", "netincome")
+    assert rows(found) == [("A", 2020, 900, 7)]
+
+
+def test_latest_cells(spark):
+    batch = spark.createDataFrame(
+        [("A", 2020, "2021-02-01", 100, None), ("A", 2020, "2021-01-01", 90, 5), ("A", 2020, None, 80, 4), ("B", 2020, None, None, None)],
+        "symbol string, calendaryear int, fillingdate string, revenue int, netincome int",
+    )
+    got = upsert.latest_cells(batch.unionByName(batch).repartition(3), ["symbol", "calendaryear"])
+    assert rows(got) == [("A", 2020, "2021-02-01", 100, 5), ("B", 2020, None, None, None)]
+    only_keys = batch.select("symbol", "calendaryear")
+    assert rows(upsert.latest_cells(only_keys, ["symbol", "calendaryear"])) == [("A", 2020), ("B", 2020)]
+
+
+def test_two_runs_at_once(spark, tmp_path, monkeypatch):
+    """A run that finds another's commit keeps both, also where both wrote one bucket."""
+    table = "income_statement_fy"
+    store = VersionedStore(spark, str(tmp_path / "store"), buckets=1)
+    ingest.ingest(store, {table: income(spark, ("A", "2019-12-31", "2019", "FY", "1"))})
+    commit, entered = VersionedStore.commit, []
+
+    def interrupted(self, *args):
+        if not entered:
+            entered.append(1)
+            other = VersionedStore(spark, str(tmp_path / "store"), buckets=1)
+            ingest.ingest(other, {table: income(spark, ("B", "2020-12-31", "2020", "FY", "2"))})
+        return commit(self, *args)
+
+    monkeypatch.setattr(VersionedStore, "commit", interrupted)
+    ingest.ingest(store, {table: income(spark, ("C", "2020-12-31", "2020", "FY", "3"))})
+    found = store.read(table).select("symbol", "revenue", "company_id")
+    assert sorted((s, r) for s, r, _ in rows(found)) == [("A", 1), ("B", 2), ("C", 3)]
+    assert sorted(r.id for r in store.read("company").collect()) == [1, 2, 3]
+    assert store.current()[0] == 3
+    assert not list((tmp_path / "store" / "_staging").glob("run=*"))
+    assert len(store.vacuum(keep=1)) >= 2
+    assert rows(store.read(table).select("symbol", "revenue", "company_id")) == rows(found)
+
+
+def test_commit_number_is_taken_once(spark, tmp_path):
+    store = VersionedStore(spark, str(tmp_path / "store"), buckets=1)
+    store.commit(0, {}, {"price": [0]}, "first")
+    with pytest.raises(CommitConflict):
+        store.commit(0, {}, {"price": [0]}, "second")
+    assert store.current() == (1, {"price": {0: "first"}})
+
+
+def test_shares_and_change_log_of_a_run(spark, tmp_path):
+    store = VersionedStore(spark, str(tmp_path / "store"), buckets=2)
+    batch = income(spark, ("A", "2020-12-31", "2020", "FY", "5")).withColumn("weightedAverageShsOutDil", F.lit("1.5E3"))
+    ingest.ingest(store, {"income_statement_fy": batch})
+    assert rows(store.read("shares_fy").select("symbol", "date", "numberofshares")) == [("A", datetime.date(2020, 12, 31), 1500)]
+    later = batch.withColumn("revenue", F.lit("6"))
+    ingest.ingest(store, {"income_statement_fy": later})
+    log = ingest.change_log(store).select("table_name", "symbol", "op", F.concat_ws(",", "changed_columns").alias("c"))
+    assert rows(log.filter("op = 'update'")) == [("income_statement_fy", "A", "update", "revenue")]
+    assert {r[0] for r in rows(log.filter("op = 'insert'"))} == {"company", "income_statement_fy", "shares_fy"}
