@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 import warnings
-from collections.abc import Collection, Iterable
+from collections.abc import Collection, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -16,81 +20,100 @@ from ledgerlens.operators.normalize import normalize
 from ledgerlens.operators.statements import keep_symbols
 
 
-#: widest file that is read by name when headers differ from file to file
-MAX_CSV_COLUMNS = 256
+#: bytes at the start of a file that its header line must fit in
+HEADER_BYTES = 1 << 20
+#: files whose first lines are read at once
+HEADER_READERS = 32
 
 
-def _csv_files(spark: SparkSession, header: bool):
-    return (
-        spark.read.option("header", header)
+def _first_line(spark: SparkSession, path: str) -> str:
+    """First line of a file, through the file system Spark would read it with."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        lines = spark._jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEADER_BYTES)
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(lines, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
+def csv_headers(spark: SparkSession, folder: str) -> dict[str, list[str] | None]:
+    """Header cells of each ``*.csv`` file below a folder, None for a file that cannot be read.
+
+    Spark lists the files without opening them; then only their first lines are read, some at a
+    time, which is work for each file and not for its size.
+    """
+    listed = (
+        spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
-        .option("mode", "PERMISSIVE")
-        .option("ignoreCorruptFiles", True)
+        .load(folder)
+        .select("path")
     )
+    paths = sorted(row.path for row in listed.collect())
 
+    def header(path: str) -> list[str] | None:
+        try:
+            line = _first_line(spark, path).lstrip("\ufeff")
+        except Py4JJavaError:
+            return None
+        return [cell.strip() for cell in next(csv.reader([line]), [])]
 
-def _header_cells(line: Column) -> Column:
-    return F.transform(F.split(line, ","), lambda c: F.btrim(c, F.lit(' "\r')))
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        return dict(zip(paths, pool.map(header, paths), strict=True))
 
 
 def read_csv_tree(
-    spark: SparkSession, folder: str, table: str | None = None, marker: str = "symbol"
+    spark: SparkSession,
+    folder: str,
+    table: str | None = None,
+    marker: str = "symbol",
+    multiline: bool = False,
 ) -> DataFrame:
-    """All ``*.csv`` files below a folder, by header name; corrupt files are skipped.
+    """All ``*.csv`` files below a folder, each by its own header; columns arrive as text.
 
-    Columns arrive as text, nothing is inferred.  Spark assigns CSV columns by position,
-    so the header lines (those with a cell ``marker``) are looked at first: if all files
-    agree they are read directly, otherwise each row is matched with its own file's
-    header.  With ``table`` the rows are brought to that table's schema.
+    Files are grouped by header and each layout is read directly, so any number of columns and of
+    layouts goes.  A file without a column ``marker``, or one that cannot be read, is refused with
+    a warning that names it.  Quotes are doubled inside quoted cells; ``multiline`` allows line
+    breaks there, at the price of one task a file.  With ``table`` the rows are brought to that
+    table's schema.
     """
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("ignoreCorruptFiles", True)
-        .text(folder)
-    )
-    headers = lines.select(_header_cells(F.col("value")).alias("header")).filter(
-        F.array_contains("header", marker)
-    )
-    layouts = [row.header for row in headers.distinct().limit(2).collect()]
-    if not layouts:
-        raw = spark.createDataFrame([], StructType([StructField(marker, StringType())]))
-    elif len(layouts) == 1:
-        names = [name or f"_c{i}" for i, name in enumerate(layouts[0])]
-        text = StructType([StructField(n, StringType()) for n in names])
-        raw = _csv_files(spark, header=True).schema(text).csv(folder)
-    else:
-        raw = _csv_by_own_header(spark, folder, headers, marker)
-    return raw if table is None else normalize(raw, table)
-
-
-def _csv_by_own_header(
-    spark: SparkSession, folder: str, headers: DataFrame, marker: str
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    refused = []
+    for path, header in csv_headers(spark, folder).items():
+        if header is None or marker not in header:
+            refused.append(path)
+        else:
+            layouts.setdefault(tuple(header), []).append(path)
+    if refused:
+        shown = ", ".join(refused[:5])
+        warnings.warn(f"{len(refused)} files without column {marker!r} are refused: {shown}", stacklevel=2)
+    parts = [_csv_layout(spark, header, paths, multiline) for header, paths in sorted(layouts.items())]
+    if not parts:
+        parts = [spark.createDataFrame([], StructType([StructField(marker, StringType())]))]
+    if table is not None:
+        parts = [normalize(part, table) for part in parts]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def _csv_layout(
+    spark: SparkSession, header: Sequence[str], paths: Sequence[str], multiline: bool
 ) -> DataFrame:
-    """Rows of files whose headers differ, each under the names of its own file."""
-    named = headers.select(F.explode("header").alias("name")).distinct().filter("name <> ''")
-    names = sorted(row.name for row in named.collect())  # columns of a table, not its rows
-    width = StructType([StructField(f"_c{i}", StringType()) for i in range(MAX_CSV_COLUMNS)])
-    cells = (
-        _csv_files(spark, header=False)
-        .schema(width)
-        .csv(folder)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.array(*[F.btrim(c) for c in width.names]).alias("cells"),
-        )
-    )
-    is_header = F.array_contains("cells", marker)
-    own = cells.filter(is_header).select("file", F.col("cells").alias("header"))
-    rows = cells.filter(F.coalesce(~is_header, F.lit(True))).join(own, "file")
-    place = {n: F.array_position("header", n) for n in names}
-    return rows.select(
-        *[
-            F.when(place[n] > 0, F.get("cells", (place[n] - 1).cast("int"))).alias(n)
-            for n in names
-        ]
+    """Files of one header.  Of repeated names the first counts; cells without a name are dropped."""
+    places = {name: f"_c{i}" for i, name in reversed(list(enumerate(header))) if name}
+    text = StructType([StructField(f"_c{i}", StringType()) for i in range(len(header))])
+    rows = (
+        spark.read.schema(text)
+        .option("header", True)
+        .option("enforceSchema", True)
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("mode", "PERMISSIVE")
+        .option("ignoreCorruptFiles", True)
+        .csv(list(paths))
     )
+    return rows.select(*[F.btrim(place).alias(name) for name, place in reversed(places.items())])
 
 
 def seed_companies(statements: DataFrame) -> DataFrame:

@@ -30,20 +30,32 @@ def provider_names(df: DataFrame, table: str) -> DataFrame:
 def write_csv_tree(df: DataFrame, table: str, folder: str) -> str:
     """A tree of headed CSV files, one folder per year."""
     batch = provider_names(df, table)
-    (
-        batch.withColumn("folder", F.year("date"))
-        .write.partitionBy("folder")
-        .option("header", True)
-        .csv(folder)
-    )
+    dated = batch.withColumn("folder", F.year("date"))
+    dated.write.partitionBy("folder").option("header", True).csv(folder)
+    return folder
+
+
+def write_mixed_csv_tree(df: DataFrame, table: str, folder: str) -> str:
+    """Files as they come: odd years have their columns turned round behind a quoted note and
+    300 further columns, and there is a copy of some rows under another name for the symbol."""
+    batch = provider_names(df, table)
+    odd = F.year("date") % 2 == 1
+    write_csv_tree(df.filter(~odd), table, f"{folder}/plain")
+    note = F.concat(F.lit('a "quoted", note on '), "symbol").alias("note")
+    more = [F.lit(str(i)).alias(f"extra{i}") for i in range(300)]
+    turned = batch.filter(odd).select(note, *more, *reversed(batch.columns))
+    for path, part in (("turned", turned), ("refused", batch.withColumnRenamed("symbol", "ticker"))):
+        part.write.option("header", True).option("escape", '"').csv(f"{folder}/{path}")
     return folder
 
 
 @register("src_csv_tree", INCOME_SQL.format("fy"))
 def src_csv_tree(t):
     folder = work_folder(t.spark, "csv")
-    write_csv_tree(t["income_statement_fy"], "income_statement_fy", folder)
-    return readers.read_csv_tree(t.spark, folder, "income_statement_fy").select(*INCOME_COLUMNS)
+    write_mixed_csv_tree(t["income_statement_fy"], "income_statement_fy", folder)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return readers.read_csv_tree(t.spark, folder, "income_statement_fy").select(*INCOME_COLUMNS)
 
 
 @register("src_csv_seed_company", "SELECT DISTINCT symbol FROM statement_fy")

@@ -42,6 +42,28 @@ def test_csv_tree_with_other_column_order(spark, tmp_path):
     assert rows(typed.select("symbol", "revenue")) == [("A", 5), ("A2", 6), ("B", 7), ("C", None)]
 
 
+def test_csv_quotes_wide_files_and_refused_files(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('symbol,note,revenue\nA,"a ""q"" b, c",5\nB,plain,6\n')
+    wide = ["symbol", *[f"x{i}" for i in range(300)]]
+    (tmp_path / "w.csv").write_text(",".join(wide) + "\n" + ",".join(["W", *map(str, range(300))]) + "\n")
+    (tmp_path / "t.csv").write_text("ticker,revenue\nT,9\n")
+    (tmp_path / "e.csv").write_text("")
+    with pytest.warns(UserWarning, match="1 files without column 'symbol'"):
+        raw = readers.read_csv_tree(spark, str(tmp_path))
+    assert rows(raw.select("symbol", "note", "revenue", "x299")) == [
+        ("A", 'a "q" b, c', "5", None),
+        ("B", "plain", "6", None),
+        ("W", None, None, "299"),
+    ]
+    assert "Join" not in raw._jdf.queryExecution().toString()
+
+
+def test_csv_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('symbol,note\nA,"two\nlines"\nB,one\n')
+    raw = readers.read_csv_tree(spark, str(tmp_path), multiline=True)
+    assert rows(raw.select("symbol", "note")) == [("A", "two\nlines"), ("B", "one")]
+
+
 def test_csv_tree_without_files(spark, tmp_path):
     (tmp_path / "note.txt").write_text("symbol\nA\n")
     assert readers.read_csv_tree(spark, str(tmp_path), "price").count() == 0
