@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 STATEMENT_KEYS = ("symbol", "company_id", "date")
 HEADER = ("symbol", "company_id", "date", "calendaryear", "period")
-#: a longer symbol list is joined instead of written into the filter
-MAX_IN_LIST = 100
 
 
 def join_statements(
@@ -65,18 +63,14 @@ def has_capital() -> Column:
 def keep_symbols(df: DataFrame, symbols: Collection[str] | DataFrame | None) -> DataFrame:
     """Rows of the listed symbols; all rows for None.
 
-    A short list becomes an IN filter that reaches the scan, a long list or a
-    DataFrame a semi join, which does not repeat rows when the list has repeats.
+    A list becomes an IN filter that reaches the scan, whatever its length; a DataFrame, for
+    lists that are data themselves, a semi join, which does not repeat rows when it has repeats.
     """
     if symbols is None:
         return df
     if isinstance(symbols, DataFrame):
         return df.join(symbols.select("symbol"), "symbol", "left_semi")
-    wanted = sorted(set(symbols))
-    if len(wanted) <= MAX_IN_LIST:
-        return df.filter(F.col("symbol").isin(wanted))
-    listed = df.sparkSession.createDataFrame([(s,) for s in wanted], "symbol string")
-    return df.join(listed, "symbol", "left_semi")
+    return df.filter(F.col("symbol").isin(sorted(set(symbols))))
 
 
 def latest_rows(df: DataFrame, key: str = "symbol", order: str = "date") -> DataFrame:

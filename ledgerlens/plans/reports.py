@@ -18,6 +18,7 @@ from ledgerlens.functions.dates import (
     age_bucket,
     bucket_years,
     within_years,
+    years_before,
     year_at_most,
 )
 from ledgerlens.operators import asof, growth, statements, windows
@@ -172,11 +173,14 @@ def yield_history(
     """
     cash = statements.keep_symbols(tables["cash_flow_statement_quarter"], symbols)
     cash = cash.filter(within_years("date", as_of, look_back))
-    income = tables["income_statement_quarter"]
+    income = statements.keep_symbols(tables["income_statement_quarter"], symbols)
+    price = statements.keep_symbols(tables["price"], symbols)
+    # A statement looks for its price at most two days before its date.
+    price = price.filter(F.col("date") >= F.date_sub(years_before(as_of, look_back), 3))
     joined = cash.select(*KEYS, "freecashflow", "stockbasedcompensation").join(
         income.select(*KEYS, "weightedaverageshsoutdil"), list(KEYS)
     )
-    priced = asof.exact_price(joined, tables["price"])
+    priced = asof.exact_price(joined, price)
     flows = ("freecashflow", "stockbasedcompensation")
     summed = windows.ttm(priced, flows=flows, keys=("symbol",), order="adj_date")
     return summed.select(
@@ -230,7 +234,10 @@ def yearly_metrics(tables: Tables, symbols: Symbols, min_year: int) -> DataFrame
     """Fiscal-year metrics with the share count."""
     base = statement_base(tables, "fy", symbols, F.col("calendaryear") >= min_year)
     named = [c.alias(n) for n, c in m.company_metrics().items()]
-    return statements.join_shares(base, tables["shares_fy"]).select(
+    shares = tables["shares_fy"]
+    if "symbol" in shares.columns:
+        shares = statements.keep_symbols(shares, symbols)
+    return statements.join_shares(base, shares).select(
         *KEYS, *named, "epsdiluted", "numberofshares"
     )
 

@@ -150,15 +150,18 @@ def sink_csv_per_key(t):
     )
 
 
-WIDTHS = {n: len(schemas.table_schema(n).fields) for n in schemas.TABLES}
-
-
 @register(
     "dataset_catalog",
-    " UNION ALL ".join(
-        f"SELECT '{n}' AS table_name, CAST({w} AS INTEGER) AS columns, COUNT(*) AS rows FROM {n}"
-        for n, w in WIDTHS.items()
-    ),
+    # Written out, so that the check does not lean on the schemas under test.
+    """SELECT 'company' AS table_name, CAST(31 AS INTEGER) AS columns, COUNT(*) AS rows FROM company
+       UNION ALL SELECT 'income_statement_fy', 40, COUNT(*) FROM income_statement_fy
+       UNION ALL SELECT 'income_statement_quarter', 40, COUNT(*) FROM income_statement_quarter
+       UNION ALL SELECT 'balance_sheet_fy', 56, COUNT(*) FROM balance_sheet_fy
+       UNION ALL SELECT 'balance_sheet_quarter', 56, COUNT(*) FROM balance_sheet_quarter
+       UNION ALL SELECT 'cash_flow_statement_fy', 42, COUNT(*) FROM cash_flow_statement_fy
+       UNION ALL SELECT 'cash_flow_statement_quarter', 42, COUNT(*) FROM cash_flow_statement_quarter
+       UNION ALL SELECT 'shares_fy', 4, COUNT(*) FROM shares_fy
+       UNION ALL SELECT 'price', 9, COUNT(*) FROM price""",
 )
 def dataset_catalog(t):
     with warnings.catch_warnings():
@@ -213,8 +216,16 @@ def _text_batch(t) -> DataFrame:
         F.col("date").cast("string").alias("key_date"),
         spoiled("date", "Q1", F.lit("2024-13-01")),
         F.when(F.col("period") == "Q2", "soon").otherwise(stamp).alias("accepteddate"),
-        spoiled("calendaryear", "Q3", F.lit("n/a")),
-        spoiled("revenue", "Q4", F.concat(F.col("revenue").cast("string"), F.lit("x"))),
+        F.when(F.col("period") == "Q3", "n/a")
+        .when(F.col("period") == "Q1", F.concat(F.col("calendaryear").cast("string"), F.lit(".0")))
+        .otherwise(F.col("calendaryear").cast("string"))
+        .alias("calendaryear"),
+        # Integers as a tool with gaps in integer columns writes them: 123.0, 1.23E2.
+        F.when(F.col("period") == "Q4", F.concat(F.col("revenue").cast("string"), F.lit("x")))
+        .when(F.col("period") == "Q1", F.concat(F.col("revenue").cast("string"), F.lit(".0")))
+        .when(F.col("period") == "Q2", F.concat(F.col("revenue").cast("string"), F.lit("0E-1")))
+        .otherwise(F.col("revenue").cast("string"))
+        .alias("revenue"),
         spoiled("epsdiluted", "Q4", F.lit("")),
     )
 
