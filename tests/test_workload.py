@@ -7,11 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from ledgerlens.workload import catalog
 from tests.conftest import TESTDATA
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-QUERIES = spark_entry.queries()
-SQL = spark_entry.oracle_sql()
+QUERIES = {name: spark_entry.queries()[name] for name in catalog.QUERIES}
+SQL = {name: sql for name, sql in spark_entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -49,5 +50,22 @@ def test_query_equals_sql(spark, duck, name):
     assert got == table(columns, result.fetchall())
 
 
+@pytest.mark.parametrize(
+    "name, by",
+    [
+        ("sort_desc", ["interestexpense"]),
+        ("sort_multi", ["symbol", "period", "date"]),
+        ("sort_expr", ["mktcap"]),
+    ],
+)
+def test_rows_come_in_order(spark, duck, name, by):
+    """The sort keys, row after row, are those of the SQL; NULLs are among them in the first."""
+    got = [tuple(r[c] for c in by) for r in QUERIES[name](spark, SF_DIR).collect()]
+    result = duck.execute(SQL[name])
+    columns = [d[0] for d in result.description]
+    assert got == [tuple(row[columns.index(c)] for c in by) for row in result.fetchall()]
+    assert name != "sort_desc" or (None,) in got
+
+
 def test_entry(spark):
     assert spark_entry.entry(spark).count() > 0
