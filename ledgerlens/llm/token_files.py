@@ -38,7 +38,7 @@ from ledgerlens.session import work_folder
 #: Text bytes that one part of the files takes about.
 PART_BYTES = 64 << 20
 #: Distinct segments, and stems, that a worker remembers.
-STEMS = 400_000
+STEMS = 800_000
 #: Segments that the library gets as one text.
 LINES = 200
 #: Perhaps a line break, a word of letters up to U+024F, perhaps a mark.
