@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ledgerlens import schemas
 from ledgerlens.operators.ingest import ingest
@@ -46,3 +46,50 @@ def stream_upsert(
     )
     query.awaitTermination()
     return query
+
+
+def stream_upsert_all(
+    store: VersionedStore,
+    landing: str,
+    checkpoint: str,
+    max_files_per_trigger: int | None = None,
+):
+    """Upsert the files of all tables that landed since the last run, then stop.
+
+    ``landing`` has a folder for each stored table, by its name, with files as
+    ``stream_upsert`` takes them; files of other folders are left alone.  One stream reads them
+    all, and each micro-batch is one commit for all of its tables.  Returns the finished query.
+    """
+    at, file = schemas.LANDING
+    reader = store.spark.readStream.option("recursiveFileLookup", True)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)/[^/]+$", 1)
+    lines = reader.text(landing).select(
+        "value",
+        folder.alias("table_name"),
+        F.col("_metadata.file_modification_time").alias(at),
+        F.col("_metadata.file_path").alias(file),
+    )
+
+    def records(batch: DataFrame, table: str) -> DataFrame:
+        names = [f.name for f in schemas.provider_schema(table).fields]
+        one = StructType([StructField(n, StringType()) for n in names])
+        rows = batch.filter(F.col("table_name") == table)
+        return rows.select(F.inline(F.from_json("value", ArrayType(one))), at, file)
+
+    def upsert_files(batch: DataFrame, _batch_id: int) -> None:
+        found = {r.table_name for r in batch.select("table_name").distinct().collect()}
+        tables = [t for t in schemas.TABLES if t in found and t != "shares_fy"]
+        if tables:
+            own = VersionedStore(batch.sparkSession, store.root, store.buckets)
+            ingest(own, {t: records(batch, t) for t in tables})
+
+    query = (
+        lines.writeStream.foreachBatch(upsert_files)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import ingest, keys, upsert
 from ledgerlens.sources.store import CommitConflict, VersionedStore
-from ledgerlens.streaming.upsert_stream import stream_upsert
+from ledgerlens.streaming.upsert_stream import stream_upsert, stream_upsert_all
 from tests.conftest import rows
 
 KEYS = ["symbol", "calendaryear", "period"]
@@ -304,3 +304,30 @@ def test_shares_and_change_log_of_a_run(spark, tmp_path):
     log = ingest.change_log(store).select("table_name", "symbol", "op", F.concat_ws(",", "changed_columns").alias("c"))
     assert rows(log.filter("op = 'update'")) == [("income_statement_fy", "A", "update", "revenue")]
     assert {r[0] for r in rows(log.filter("op = 'insert'"))} == {"company", "income_statement_fy", "shares_fy"}
+
+
+def test_one_stream_for_all_tables(spark, tmp_path):
+    store = VersionedStore(spark, str(tmp_path / "store"), buckets=2)
+    landing = tmp_path / "landing"
+
+    def land(table, name, *records):
+        (landing / table).mkdir(parents=True, exist_ok=True)
+        (landing / table / name).write_text("\n".join(map(json.dumps, records)) + "\n")
+
+    price = {"symbol": "A", "date": "2020-01-02", "close": 1.5, "volume": "10.0"}
+    quarter = {"symbol": "B", "date": "2020-03-31", "calendarYear": "2020", "period": "Q1", "revenue": 5}
+    land("price", "a.json", [price, {**price, "date": "2020-01-03"}], price)
+    land("income_statement_quarter", "a.json", quarter)
+    land("other", "a.json", {"symbol": "C"})
+    stream_upsert_all(store, str(landing), str(tmp_path / "checkpoint"))
+    assert rows(store.read("price").select("symbol", "date", "volume")) == [
+        ("A", datetime.date(2020, 1, 2), 10),
+        ("A", datetime.date(2020, 1, 3), 10),
+    ]
+    assert rows(store.read("income_statement_quarter").select("symbol", "revenue")) == [("B", 5)]
+    assert {r.symbol for r in store.read("company").collect()} == {"A", "B"}
+    assert store.current()[0] == 1
+    land("price", "b.json", {"symbol": "A", "date": "2020-01-02", "close": 1.6})
+    stream_upsert_all(store, str(landing), str(tmp_path / "checkpoint"))
+    assert store.current()[0] == 2
+    assert store.read("price").filter("close = 1.6 AND volume = 10").count() == 1
