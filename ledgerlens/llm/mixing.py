@@ -49,7 +49,8 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 
     A source stops at its limit where limit over weight is at or below the level.  With sources
     ordered by that ratio, the level is what is left of the budget after the limits so far, over
-    the weights still open; sources before the first whose ratio exceeds it have stopped.
+    the weights still open; sources before the first whose ratio exceeds it have stopped.  From that
+    source on the levels fall, as each takes more than its share away, so the right one is the largest.
     """
     by_name = Window.orderBy("_none", "_key")
     cycle = F.array(*map(F.lit, map(float, weights)))
@@ -67,7 +68,7 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     )
     level = (F.col("budget") - F.col("cap_before")) / (F.col("w_all") - F.col("w_before"))
     rows = rows.withColumn("level", F.when(F.col("ratio") > level, level))
-    rows = rows.withColumn("level", F.min("level").over(everything))
+    rows = rows.withColumn("level", F.max("level").over(everything))
     return rows.select(
         *KEY, "source_size",
         F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("w"), F.col("cap"))).alias("target"),

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import mixing as M
 
@@ -95,3 +96,24 @@ def test_levels(spark, sizes):
     got = M.targets(spark.createDataFrame(rows, "_key string, _none boolean, source_size long")).collect()
     want = brute_targets(sizes)
     assert {None if r["_none"] else r["_key"]: pytest.approx(r["target"]) for r in got} == want
+
+
+def filled(spark, sizes):
+    """Targets of sizes against brute force, and their sum against the budget."""
+    rows = [(k or "", k is None, v) for k, v in sizes.items()]
+    got = M.targets(spark.createDataFrame(rows, "_key string, _none boolean, source_size long")).collect()
+    assert {None if r["_none"] else r["_key"]: pytest.approx(r["target"]) for r in got} == brute_targets(sizes)
+    assert sum(r["target"] for r in got) == pytest.approx(1.5 * sum(sizes.values()))
+    return got
+
+
+@pytest.mark.parametrize("n", [3, 7, 20])
+def test_equal_sizes_share_the_whole_budget(spark, n):
+    filled(spark, {f"s{i:02d}": 100 for i in range(n)})
+
+
+def test_real_sources_share_the_whole_budget(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sizes = docs.groupBy("source").agg(F.sum(M.words(F.col("text"))).alias("n")).collect()
+    got = filled(spark, {r["source"]: r["n"] for r in sizes})
+    assert sum(r["target"] < 2 * r["source_size"] for r in got) > 1
