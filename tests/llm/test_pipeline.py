@@ -8,6 +8,7 @@ import corpus_pipeline as P
 from ledgerlens.llm import quality_rules, secrets
 
 from .test_jaccard_join import brute
+from .test_mixing import brute_targets
 from .test_quality_rules import brute as measured
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -67,6 +68,20 @@ def test_stages_against_brute_force(spark):
         assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_mix_fills_the_target_of_each_source(spark):
+    """Sources of similar size: several are below their limit."""
+    rows = [(i, t, lang, "abcdefg"[i % 7], n) for i, t, lang, _, n in made() if t]
+    mixed = P.mix(spark, spark.createDataFrame(rows, SCHEMA).repartition(4), "").collect()
+    sizes, taken = {}, dict.fromkeys("abcdefg", 0)
+    for r in rows:
+        sizes[r[3]] = sizes.get(r[3], 0) + len(r[1].split())
+    for r in mixed:
+        taken[r["source"]] += len(r["text"].split())
+    largest = max(len(r[1].split()) for r in rows)
+    for s, target in brute_targets(sizes).items():
+        assert abs(taken[s] - target) <= largest / 2
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)], [(1, "plain words " * 3, "en", "a", 36)] * 3])
 def test_odd_tables(spark, rows):
     docs = spark.createDataFrame(rows, SCHEMA)
