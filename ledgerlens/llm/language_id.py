@@ -7,10 +7,10 @@ interpolated with the next.  A model is sorted arrays of hashes: of grams with t
 and of contexts with the weight of the lower order.  A text gets the language of least
 cross-entropy per character; the score is the probability of that choice, from a temperature
 fitted on a bounded sample, and ``rejected`` marks texts whose cross-entropy is above nearly all
-texts of that language in the sample.
+texts of that language to learn from.
 
-Every text is counted and scored whole.  A model keeps at most ``GRAMS`` grams of each language,
-the most frequent.  Defined results: a null text, or one without letters, is ``und`` with score 0
+Every text is counted and scored whole.  A model keeps every gram of its language, so the driver
+and the workers hold memory in proportion to the distinct grams.  Defined results: a null text, or one without letters, is ``und`` with score 0
 and not rejected, as is every text if nothing was learnt.  Ties go to the lesser name.  Repeated
 rows, null ids and null languages need no special case (a null language teaches nothing); an empty
 table gives no row.  Columns of the input stay, added ones replace those of their name.
@@ -27,17 +27,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import free_name, held_out, session_of
+from ledgerlens.llm.common import free_name, held_out, session_of, stored
 from ledgerlens.llm.segments import Codes
 
 ORDER = 4
-#: Grams of a language that its model keeps.
-GRAMS = 100_000
-#: Texts that the temperature and the limits of rejection are fitted on.
+#: Texts that the temperature is fitted on.
 SAMPLE = 2_000
 TEMPERATURES = (0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0)
-#: Share of a language's sample whose cross-entropy is within the limit.
+#: Share of a language's texts to learn from whose cross-entropy is within the limit, and bins of
+#: the cross-entropy for each unit.
 WITHIN = 0.995
+STEPS = 4096
 #: Distinct words, and grams, that a worker remembers.
 REMEMBERED = 150_000
 COUNTED = 400_000
@@ -174,7 +174,7 @@ class LanguageModel:
 
 
 class Identifier:
-    """Models of all languages, and what was fitted on the sample."""
+    """Models of all languages, and what was fitted."""
 
     def __init__(self, raw: dict[str, dict[str, int]]):
         self.names = sorted(raw)
@@ -232,7 +232,7 @@ class Identifier:
         return p / p.sum(axis=1, keepdims=True)
 
     def calibrate(self, entropies: np.ndarray, n: np.ndarray, truth: Sequence[str]) -> None:
-        """The temperature of least log-loss, and for each language the limit of its entropy."""
+        """The temperature of least log-loss."""
         right = np.array([self.names.index(t) if t in self.names else -1 for t in truth])
         use = (right >= 0) & (n > 0)
         if not use.any():
@@ -241,8 +241,6 @@ class Identifier:
         at = np.arange(len(right))
         loss = [-np.log(np.maximum(self.posterior(e, n, t)[at, right], 1e-12)).mean() for t in TEMPERATURES]
         self.temperature = TEMPERATURES[int(np.argmin(loss))]
-        for j in set(right.tolist()):
-            self.limits[j] = np.quantile(e[right == j, j], WITHIN)
 
     def judge(self, texts: Sequence[str | None]) -> pd.DataFrame:
         e, n = self.entropies(texts)
@@ -265,29 +263,46 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     """Models from the rows where ``learn``, a condition on doc_id."""
     spark = session_of(docs)
     rows = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    most = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = counts(rows, text, lang).withColumn("place", F.row_number().over(most)).filter(F.col("place") <= GRAMS)
     raw: dict[str, dict[str, int]] = defaultdict(dict)
-    for r in kept.select("lang", "gram", "n").toLocalIterator():  # at most ``GRAMS`` for each language
+    for r in counts(rows, text, lang).toLocalIterator():
         raw[r["lang"]][r["gram"]] = r["n"]
     own = Identifier(raw)
+    if not own.names:
+        return own
     shared = spark.sparkContext.broadcast(own)
     ids = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    chosen = rows.select("doc_id", F.col(text).alias("text"), F.col(lang).alias("lang")).join(F.broadcast(ids), "doc_id")
+    marked = rows.select("doc_id", F.col(text).alias("text"), F.col(lang).alias("lang"))
+    marked = marked.join(F.broadcast(ids.withColumn("chosen", F.lit(True))), "doc_id", "left")
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place = {k: j for j, k in enumerate(shared.value.names)}
         for b in batches:
             e, n = shared.value.entropies(list(b["text"]))
-            yield pd.DataFrame({"lang": b["lang"], "n": n, "e": list(e)})
+            right = np.array([place.get(k, 0) for k in b["lang"]], np.int64)  # without letters where the name is missing
+            mine = e[np.arange(len(b)), right]
+            yield pd.DataFrame({"lang": b["lang"], "n": n, "mine": mine, "e": [x if c else None for x, c in zip(e, b["chosen"], strict=True)]})
 
-    found = chosen.mapInPandas(measured, "lang string, n double, e array<double>").collect()  # of the sample
+    marked = marked.select("text", "lang", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+    scored = stored(marked.mapInPandas(measured, "lang string, n double, mine double, e array<double>"), "language-entropies")
+    found = scored.filter("e IS NOT NULL").select("lang", "n", "e").collect()  # of the sample
     found = sorted(found, key=lambda r: (r["lang"], r["n"], r["e"]))
     e = np.array([r["e"] for r in found]).reshape(len(found), len(own.names))
     own.calibrate(e, np.array([r["n"] for r in found]), [r["lang"] for r in found])
+    for r in limits(scored).collect():  # one row for each language
+        own.limits[own.names.index(r["lang"])] = r["most"]
     own.clear()
     return own
 
 
+def limits(scored: DataFrame) -> DataFrame:
+    """(lang, most): the upper edge of the bin in which a language's share ``WITHIN`` is reached."""
+    bins = scored.filter("n > 0").groupBy("lang", F.floor(F.col("mine") * STEPS).alias("bin")).agg(F.count("*").alias("texts"))
+    within = Window.partitionBy("lang")
+    upto = F.sum("texts").over(within.orderBy("bin"))
+    reached = bins.withColumns({"upto": upto, "all": F.sum("texts").over(within)}).filter(F.col("upto") >= F.col("all") * WITHIN)
+    return reached.groupBy("lang").agg(((F.min("bin") + 1) / STEPS).alias("most"))
+
+
 def identified(docs: DataFrame, own: Identifier, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score, entropy and rejected."""
     shared = session_of(docs).sparkContext.broadcast(own)

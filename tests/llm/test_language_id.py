@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import language_id as L
 
@@ -108,3 +109,26 @@ def test_cleared_memory_changes_nothing(monkeypatch):
     for i, t in enumerate(texts):
         one = own.judge([t]).iloc[0]
         assert one["lang_pred"] == whole.iloc[i]["lang_pred"] and one["score"] == pytest.approx(whole.iloc[i]["score"])
+
+
+def test_a_model_keeps_all_grams(spark):
+    """A script of many characters has more grams than 100,000."""
+    r = random.Random(6)
+    texts = [" ".join("".join(chr(0x4E00 + r.randrange(5000)) for _ in range(3)) for _ in range(100)) for _ in range(450)]
+    docs = spark.createDataFrame([(i, t, "zh") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    raw = Counter(g for t in texts for w in t.split() for g in L.grams(w))
+    assert len(raw) > 100_000
+    got, want = L.train(docs, F.lit(True)).models[0], L.Identifier({"zh": dict(raw)}).models[0]
+    for mine, whole in ((got.grams, want.grams), (got.contexts, want.contexts)):
+        assert np.array_equal(mine.keys, whole.keys) and np.array_equal(mine.values, whole.values)
+
+
+def test_limits_come_from_all_texts(spark, monkeypatch):
+    rows = made(700)
+    monkeypatch.setattr(L, "SAMPLE", 5)
+    own = L.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4), F.lit(True))
+    e, _ = own.entropies([t for _, t, _ in rows])
+    for j, k in enumerate(own.names):
+        mine = e[[i for i, r in enumerate(rows) if r[2] == k], j]
+        want = np.quantile(mine, L.WITHIN, method="inverted_cdf")
+        assert want <= own.limits[j] <= want + 1 / 4096 + 1e-9
