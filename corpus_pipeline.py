@@ -5,7 +5,7 @@ written and read back as the next one's ``docs``.  All but the last return the c
 ``documents``:
 
 1. ``quality_rules`` drops documents that the strict policy rejects;
-2. ``near_duplicates`` keeps one document of each group of linked ones;
+2. ``near_duplicates`` keeps one document of each group of linked ones (four words, 85 %, as ``op8``);
 3. ``secret_scans`` replaces secrets in the texts and counts ``n_chars`` anew where it did;
 4. ``mixing`` repeats or leaves out documents so that sources come to their target sizes;
 5. ``sentence_pieces`` encodes and decodes the texts.
