@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_topk, jaccard_join, language_id, mixing, quality_rules, secrets, sentence_pieces, token_files, toxicity, url_filters
+from ledgerlens.llm import exact_topk, jaccard_join, language_id, mixing, quality_rules, secrets, sentence_pieces, spelling_variants, token_files, toxicity, url_filters
 from ledgerlens.llm.common import table
 from ledgerlens.session import work_folder
 
@@ -62,5 +62,21 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judged(pages, rules).drop("url")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op3_secrets, op4_toxicity, op5_exact_topk, op6_mixing, op7_token_files, op8_jaccard_join, op9_language_id, op10_url_filters)}
-SQL: dict[str, str] = {"op1_quality_rules": quality_rules.JUDGED_SQL, "op5_exact_topk": exact_topk.SQL, "op8_jaccard_join": jaccard_join.SQL, "op10_url_filters": url_filters.SQL}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_sentence_pieces, op3_secrets, op4_toxicity, op5_exact_topk, op6_mixing, op7_token_files,
+        op8_jaccard_join, op9_language_id, op10_url_filters, op11_spelling_variants,
+    )
+}
+SQL: dict[str, str] = {
+    "op1_quality_rules": quality_rules.JUDGED_SQL,
+    "op5_exact_topk": exact_topk.SQL,
+    "op8_jaccard_join": jaccard_join.SQL,
+    "op10_url_filters": url_filters.SQL,
+    "op11_spelling_variants": spelling_variants.SQL,
+}

@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in catalog.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, len(numbers) + 1))
     assert set(catalog.SQL) <= set(catalog.QUERIES)
 
 
@@ -28,7 +28,11 @@ def test_query_equals_sql(spark, name):
     assert sorted(map(tuple, df.select(columns).collect()), key=str) == sorted(result.fetchall(), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL)))
+#: queries whose rows are those of another table or none
+NOT_BY_DOCUMENT = {"op12_embedding_whitening"}
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL) - NOT_BY_DOCUMENT))
 def test_other_queries_give_a_row_for_each_document(spark, name):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     got = catalog.QUERIES[name](spark, SF_DIR)
