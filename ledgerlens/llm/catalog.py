@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_topk, jaccard_join, language_id, mixing, quality_rules, secrets, sentence_pieces, spelling_variants, token_files, toxicity, url_filters
+from ledgerlens.llm import embedding_whitening, exact_topk, jaccard_join, language_id, mixing, quality_rules, quality_votes, secrets, sentence_pieces, spelling_variants, token_files, toxicity, url_filters
 from ledgerlens.llm.common import table
 from ledgerlens.session import work_folder
 
@@ -66,11 +66,19 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_votes.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_sentence_pieces, op3_secrets, op4_toxicity, op5_exact_topk, op6_mixing, op7_token_files,
-        op8_jaccard_join, op9_language_id, op10_url_filters, op11_spelling_variants,
+        op8_jaccard_join, op9_language_id, op10_url_filters, op11_spelling_variants, op12_embedding_whitening, op13_quality_votes,
     )
 }
 SQL: dict[str, str] = {
