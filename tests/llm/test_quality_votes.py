@@ -16,7 +16,8 @@ def made(n, bad_share=0.25, seed=4):
     for i in range(n):
         bad = r.random() < bad_share
         words = [r.choice(WORDS) for _ in range(r.randint(20, 90))]
-        text = " | ".join(words) if bad and i % 2 else "!! ".join(w.upper() for w in words) if bad else " ".join(words) + "."
+        spoilt = (" | ".join(words), "!! ".join(w.upper() for w in words), " ".join(w for w in words for _ in range(4)))[i % 3]
+        text = spoilt if bad else " ".join(words) + "."
         out.append((i, text, int(not bad)))
     return out
 
@@ -42,9 +43,10 @@ def plain(rows, known):
     features = []
     for _, text in rows:
         count = {}
-        for token in (text or "").split():
-            for place in Q.buckets_of(token):
-                count[place] = count.get(place, 0) + 1
+        tokens = (text or "").split()
+        places = [p for t in tokens for p in Q.buckets_of(t)]
+        for place in places + [Q.AGAIN for a, b in zip(tokens, tokens[1:]) if a == b]:
+            count[place] = count.get(place, 0) + 1
         features.append(count)
     used = sorted(set().union(*features))
     df = {p: sum(p in c for c in features) for p in used}
