@@ -13,7 +13,7 @@ from ledgerlens.operators import keys, upsert
 from ledgerlens.operators.normalize import normalize
 from ledgerlens.operators.statements import shares_from_income
 from ledgerlens.sources.readers import read_csv_tree, seed_companies
-from ledgerlens.sources.store import CommitConflict, Layout, VersionedStore
+from ledgerlens.sources.store import ATTEMPT, CHANGED, OP, Cell, CommitConflict, Layout, VersionedStore
 
 
 def _dataset_of(table: str) -> str:
@@ -50,27 +50,27 @@ def status_counts(status: DataFrame) -> DataFrame:
     )
 
 
-def _company_ids(symbols: Mapping[str, DataFrame], stored: DataFrame) -> DataFrame:
-    """(id, symbol) of the run's companies; unknown symbols get the next free ids."""
-    every = reduce(DataFrame.unionByName, symbols.values()).distinct()
-    known = stored.select("id", "symbol").join(every, "symbol", "left_semi")
-    return known.unionByName(keys.stub_companies(every, stored))
-
-
 #: attempts of a run whose commits collide with those of other runs
 ATTEMPTS = 10
 
 
-def ingest(store: VersionedStore, raw: Mapping[str, DataFrame], log: bool = True) -> DataFrame:
+def ingest(
+    store: VersionedStore, raw: Mapping[str, DataFrame], log: bool = True, source: tuple[str, int] | None = None
+) -> DataFrame:
     """Upsert provider batches (stored table name to rows) in one commit.
 
     A symbol with an invalid row in any batch is left out of all tables.  Fiscal-year income
     also fills ``shares_fy``.  Returns the status per symbol; with ``log`` the changes of the run
-    are added to ``change_log(store)``, which costs a second pass over the joins.  Running the same batches again changes nothing.
+    are published by its commit, for ``change_log``.  Cells in which nothing changed are not
+    committed, and running the same batches again commits nothing.
+
+    ``source`` names a stream and the number of its batch; the commit keeps the number, and a
+    batch that the store has already taken is left out.
 
     Several runs may work on one store.  Whoever commits second reads the layout again: if the
-    other run left its buckets and the companies alone, the same files are committed on top of
-    it; else the run merges anew with what is stored now.
+    other run left its cells alone, the same files are committed on top of it; else the run merges
+    anew with what is stored now.  Ids of new companies come from a range that a run reserves, so
+    runs that bring different companies do not meet.
     """
     run = store.new_run()
     batches = {
@@ -79,98 +79,120 @@ def ingest(store: VersionedStore, raw: Mapping[str, DataFrame], log: bool = True
     }
     status = store.record("status", ingest_status(batches), run)
     failed = status.filter(~F.col("ok")).select("symbol")
-    # Distinct symbols and de-duplicated rows both combine before the shuffle, so a symbol
-    # that landed very many times does not meet in one task.
-    symbols = {
-        table: batch.select("symbol")
-        .filter(F.col("symbol").isNotNull())
-        .distinct()
-        .join(failed, "symbol", "left_anti")
-        for table, batch in batches.items()
-    }
-    base, layout = store.current()
-    written = None
-    for _ in range(ATTEMPTS):
+    good = {t: b.filter(F.col("symbol").isNotNull()).join(failed, "symbol", "left_anti") for t, b in batches.items()}
+    reserved = _Reserved(store)
+    base, written, version = store.head(), None, f"{run}{ATTEMPT}0"
+    for attempt in range(1, ATTEMPTS + 1):
+        if source is not None and base.streams.get(source[0], -1) >= source[1]:
+            break
         if written is None:
-            files = store.new_run()
-            written = _merge(store, batches, symbols, failed, layout, files, log)
-        if not any(written.values()):
+            version = f"{run}{ATTEMPT}{attempt}"
+            written = _merge(store, good, base.layout, version, log, reserved)
+        if not written:
             break
         try:
-            store.commit(base, layout, written, files)
+            store.commit(base, written, version, dict([source] if source else []), version if log else None)
             break
         except CommitConflict:
-            base, now = store.current()
-            if _meet(layout, now, written):
-                store.drop_staging(files)
+            now = store.head()
+            if _meet(base.layout, now.layout, written):
+                store.drop_staging(version)
                 written = None
-            layout = now
+            base = now
     else:
         raise CommitConflict(f"gave up after {ATTEMPTS} attempts")
-    if log and any(written.values()):
-        store.record("change_log", store.spark.read.parquet(f"{store.root}/_staging/run={files}/changes"), run)
     store.drop_staging(run)
-    store.drop_staging(files)
+    store.drop_staging(version)
     return status
 
 
-def _meet(before: Layout, now: Layout, written: Mapping[str, Iterable[int]]) -> bool:
-    """Whether another run changed the companies, which ids are counted on, or a written bucket."""
-    if before.get("company") != now.get("company"):
-        return True
-    return any(
-        before.get(t, {}).get(b) != now.get(t, {}).get(b) for t, bs in written.items() for b in bs
-    )
+def _meet(before: Layout, now: Layout, written: Mapping[str, Iterable[Cell]]) -> bool:
+    """Whether another run changed a written cell.  A company that both brought is in such a cell."""
+    return any(before.get(t, {}).get(c) != now.get(t, {}).get(c) for t, cells in written.items() for c in cells)
+
+
+class _Reserved:
+    """The range of company ids of a run; it serves all attempts that need no more of them."""
+
+    def __init__(self, store: VersionedStore):
+        self.store, self.first, self.size = store, 1, 0
+
+    def take(self, count: int) -> int:
+        if count > self.size:
+            self.first, self.size = self.store.reserve_ids(count), count
+        return self.first
+
+
+def _company_ids(
+    store: VersionedStore, symbols: DataFrame, layout: Layout, version: str, reserved: _Reserved
+) -> tuple[DataFrame, DataFrame]:
+    """(id, symbol) of the run's companies, and of those among them that are new."""
+    buckets = sorted({r.bucket for r in symbols.select(store.bucket_of().alias("bucket")).distinct().collect()})
+    stored = store.read("company", buckets, layout).select("id", "symbol")
+    missing = store.stage("missing", symbols.join(stored, "symbol", "left_anti"), version)
+    count = missing.count()
+    if count:
+        start = store.spark.range(1).select(F.lit(reserved.take(count) - 1).cast("long").alias("max_id"))
+        new = store.stage("new_ids", keys.surrogate_ids(missing, "symbol", start).select("id", "symbol"), version)
+    else:
+        new = stored.limit(0)
+    known = stored.join(symbols, "symbol", "left_semi")
+    return known.unionByName(new), new
 
 
 def _merge(
-    store: VersionedStore, batches: Mapping[str, DataFrame], symbols: Mapping[str, DataFrame],
-    failed: DataFrame, layout: Layout, files: str, log: bool,
-) -> dict[str, list[int]]:
-    """Write the touched buckets of all tables as version ``files``; returns the buckets."""
-    stored_companies = store.read("company", layout=layout)
-    ids = store.stage("company_ids", _company_ids(symbols, stored_companies), files)
-    prepared = {"company": ids}
+    store: VersionedStore, batches: Mapping[str, DataFrame], layout: Layout, version: str, log: bool, reserved: _Reserved
+) -> dict[str, list[Cell]]:
+    """Write the touched cells of all tables, and the change log, as ``version``; returns the cells
+    in which something changed."""
+    # Distinct symbols combine before the shuffle, so one that landed very many times does not
+    # meet in one task.
+    every = reduce(DataFrame.unionByName, [b.select("symbol") for b in batches.values()]).distinct()
+    symbols = store.stage("symbols", every, version)
+    ids, new = _company_ids(store, symbols, layout, version, reserved)
+    prepared, by, touching = {}, {}, {}
     for table, batch in batches.items():
         landing = [c for c in schemas.LANDING if c in batch.columns]
-        by = keys_of(table, batch.columns)
-        good = upsert.latest_cells(batch, by, landing).join(failed, "symbol", "left_anti")
+        by[table], touching[table] = keys_of(table, batch.columns), batch
+        rows = upsert.latest_cells(batch, by[table], landing)
         if table == "company":
-            prepared[table] = ids.join(good, "symbol", "left")
+            own = rows.select("symbol").unionByName(new.select("symbol")).distinct()
+            prepared[table] = ids.join(own, "symbol", "left_semi").join(rows, "symbol", "left")
+            touching[table] = batch.select("symbol").unionByName(new.select("symbol"))
         else:
-            prepared[table] = keys.fk_resolve(good.filter("symbol IS NOT NULL"), ids)
-    symbols = {**symbols, "company": ids}
-    income = prepared.get("income_statement_fy")
+            prepared[table] = keys.fk_resolve(rows, ids)
+    if "company" not in batches:
+        by["company"], prepared["company"], touching["company"] = keys_of("company"), new, new
+    income = batches.get("income_statement_fy")
     if income is not None and {"date", "weightedaverageshsoutdil"} <= set(income.columns):
-        shares = shares_from_income(income.filter("date IS NOT NULL"))
-        prepared["shares_fy"] = upsert.latest_cells(shares, ["symbol", "date"])
-        symbols["shares_fy"] = symbols["income_statement_fy"]
-
-    touched = store.touched(symbols)
-    logs = []
-    for table, buckets in touched.items():
-        stored = store.read(table, buckets, layout)
-        by = ["symbol", "date"] if table == "shares_fy" else keys_of(table, prepared[table].columns)
-        if log:
-            logs.append(_log(upsert.change_log(prepared[table], stored, by, table), by))
-        merged = upsert.apply_batch(prepared[table], stored, by)
-        store.write_version(table, merged, files, len(buckets))
-    if logs:
-        store.stage("changes", reduce(DataFrame.unionByName, logs), files)
-    return touched
-
-
-def _log(log: DataFrame, by: list[str]) -> DataFrame:
-    key = F.to_json(F.struct(*by)).alias("key")
-    return log.select("table_name", "symbol", key, "op", "changed_columns")
-
-
-def change_log(store: VersionedStore) -> DataFrame:
-    """Inserted and updated keys of all committed runs: run, table_name, symbol, key (JSON), op
-    and changed_columns."""
-    path = f"{store.root}/_runs/run=*/change_log"
-    logs = store.spark.read.option("basePath", f"{store.root}/_runs").parquet(path)
-    return logs.select("run", "table_name", "symbol", "key", "op", "changed_columns")
+        dated = prepared["income_statement_fy"].filter("date IS NOT NULL")
+        by["shares_fy"] = ["symbol", "date"]
+        prepared["shares_fy"] = upsert.latest_cells(shares_from_income(dated), by["shares_fy"])
+        touching["shares_fy"] = income.filter("date IS NOT NULL").select("symbol", "date")
+
+    touched = store.touched(touching)
+    changes = []
+    for table, cells in touched.items():
+        stored = store.read(table, layout=layout, cells=cells)
+        merged = upsert.apply_and_tell(prepared[table], stored, by[table], OP, CHANGED)
+        store.write_version(table, merged, version, len(cells))
+        changes.append(store.changes_of(table, version, by[table]))
+    if not changes:
+        return {}
+    rows = reduce(DataFrame.unionByName, changes)
+    if log:
+        rows = store.write_changes(rows, version)
+    changed: dict[str, list[Cell]] = {}
+    for r in rows.select("table_name", "bucket", "year").distinct().collect():
+        changed.setdefault(r.table_name, []).append((r.bucket, r.year))
+    return {t: sorted(cells) for t, cells in changed.items()}
+
+
+def change_log(store: VersionedStore, after: int = 0, upto: int | None = None) -> DataFrame:
+    """Inserted and updated keys of the commits above ``after`` up to ``upto``: commit, run,
+    table_name, symbol, key (JSON), op and changed_columns.  Runs that never committed are not
+    listed; a store without commits gives no rows."""
+    return store.read_changes(after, upto).select("commit", "run", "table_name", "symbol", "key", "op", "changed_columns")
 
 
 # Folders of the local statement files and the tables they fill.

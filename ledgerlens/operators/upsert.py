@@ -93,11 +93,8 @@ def update_set(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> Data
     )
 
 
-def apply_batch(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored rows after the upsert: the batch must hold each key once.
-
-    Columns only the stored table has keep their value (NULL on inserted rows).
-    """
+def _merged_cells(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The stored columns after the upsert, of a joined pair."""
     values = set(_value_columns(batch, stored, keys))
 
     def merged(c: str) -> Column:
@@ -108,7 +105,28 @@ def apply_batch(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> Dat
         taken = F.when(F.col("o").isNull() | _changed(batch, c), F.col(f"n.{c}"))
         return F.coalesce(taken, F.col(f"o.{c}")).alias(c)
 
-    return _pair(batch, stored, keys, "full").select(*[merged(c) for c in stored.columns])
+    return [merged(c) for c in stored.columns]
+
+
+def apply_batch(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored rows after the upsert: the batch must hold each key once.
+
+    Columns only the stored table has keep their value (NULL on inserted rows).
+    """
+    return _pair(batch, stored, keys, "full").select(*_merged_cells(batch, stored, keys))
+
+
+def apply_and_tell(batch: DataFrame, stored: DataFrame, keys: Sequence[str], op: str, changed: str) -> DataFrame:
+    """``apply_batch`` with two more columns: ``op`` is insert or update, NULL on rows that stay as
+    they are, and ``changed`` lists the changed columns of an update.  One join gives both."""
+    names = F.array_compact(F.array(*[F.when(_changed(batch, c), F.lit(c)) for c in _value_columns(batch, stored, keys)]))
+    is_new = F.col("o").isNull()
+    differs_from_old = F.col("n").isNotNull() & (F.size(names) > 0)
+    return _pair(batch, stored, keys, "full").select(
+        *_merged_cells(batch, stored, keys),
+        F.when(is_new, INSERT).when(differs_from_old, UPDATE).alias(op),
+        F.when(~is_new & differs_from_old, names.cast("array<string>")).alias(changed),
+    )
 
 
 def change_log(

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import csv
+import re
 import warnings
-from collections.abc import Collection, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import zlib
+from collections.abc import Collection, Iterable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -20,48 +22,63 @@ from ledgerlens.operators.normalize import normalize
 from ledgerlens.operators.statements import keep_symbols
 
 
-#: bytes at the start of a file that its header line must fit in
-HEADER_BYTES = 1 << 20
-#: files whose first lines are read at once
-HEADER_READERS = 32
+#: files that are read, plain or compressed
+CSV_FILES = "*.{csv,csv.gz}"
 
 
-def _first_line(spark: SparkSession, path: str) -> str:
-    """First line of a file, through the file system Spark would read it with."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
-    try:
-        lines = spark._jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEADER_BYTES)
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(lines, "UTF-8"))
-        return reader.readLine() or ""
-    finally:
-        stream.close()
+def _listed(spark: SparkSession, kind: str, pattern: str = CSV_FILES):
+    return spark.read.format(kind).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
 
 
-def csv_headers(spark: SparkSession, folder: str) -> dict[str, list[str] | None]:
-    """Header cells of each ``*.csv`` file below a folder, None for a file that cannot be read.
+def csv_headers(spark: SparkSession, folder: str, refused: Collection[str] = ()) -> dict[str, list[str]]:
+    """Files below a folder by their first line that is not blank.
 
-    Spark lists the files without opening them; then only their first lines are read, some at a
-    time, which is work for each file and not for its size.
+    Tasks read the lines and send one row for each file; the driver gets each distinct line once,
+    with the paths, which Spark's own listing holds there too.  The pass reads every file to its
+    end, without skipping faults: it fails on a file that breaks half-way.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(folder)
-        .select("path")
-    )
-    paths = sorted(row.path for row in listed.collect())
-
-    def header(path: str) -> list[str] | None:
-        try:
-            line = _first_line(spark, path).lstrip("\ufeff")
-        except Py4JJavaError:
-            return None
-        return [cell.strip() for cell in next(csv.reader([line]), [])]
-
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        return dict(zip(paths, pool.map(header, paths), strict=True))
+    lines = _listed(spark, "text").option("ignoreCorruptFiles", False).load(folder)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    if refused:
+        lines = lines.filter(~F.col("path").isin(list(refused)))
+    # Lines of a file's first block come in order, in one task.
+    lines = lines.filter((F.col("start") == 0) & (F.trim("value") != "")).withColumn("at", F.monotonically_increasing_id())
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    found = first.groupBy("line").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return {r.line: r.paths for r in found.collect()}
+
+
+def _ends_early(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths of compressed files (path, content) that do not unpack to their end."""
+    for b in batches:
+        broken = []
+        for path, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            left, whole = memoryview(content.as_buffer()), True
+            while whole and len(left):
+                part = zlib.decompressobj(31)
+                try:
+                    for at in range(0, len(left), 1 << 20):
+                        part.decompress(left[at : at + (1 << 20)])
+                        if part.eof:
+                            break
+                    whole = part.eof
+                    left = left[min(len(left), at + (1 << 20)) - len(part.unused_data) :]
+                except zlib.error:
+                    whole = False
+            if not whole:
+                broken.append(path)
+        yield pa.RecordBatch.from_arrays([pa.array(broken, pa.string())], ["path"])
+
+
+def _broken_files(spark: SparkSession, folder: str, error: Exception, known: Collection[str]) -> set[str]:
+    """Files that cannot be read to their end, after a pass has failed on one: all such compressed
+    files, found by tasks that unpack them, and the one that the error names."""
+    packed = _listed(spark, "binaryFile", "*.csv.gz").load(folder).select("path", "content")
+    found = {r.path for r in packed.mapInArrow(_ends_early, "path string").collect()}
+    found |= set(re.findall(r"reading file (\S+?)\.? (?:SQLSTATE|\n|$)", str(error)))
+    if found <= set(known):
+        raise error
+    return found
 
 
 def read_csv_tree(
@@ -71,24 +88,34 @@ def read_csv_tree(
     marker: str = "symbol",
     multiline: bool = False,
 ) -> DataFrame:
-    """All ``*.csv`` files below a folder, each by its own header; columns arrive as text.
+    """All ``*.csv`` and ``*.csv.gz`` files below a folder, each by its own header; columns arrive
+    as text.
 
     Files are grouped by header and each layout is read directly, so any number of columns and of
-    layouts goes.  A file without a column ``marker``, or one that cannot be read, is refused with
-    a warning that names it.  Quotes are doubled inside quoted cells; ``multiline`` allows line
-    breaks there, at the price of one task a file.  With ``table`` the rows are brought to that
-    table's schema.
+    layouts goes, and headers of any length.  A file without a column ``marker``, or one that
+    cannot be read to its end, is refused whole, with a warning that names it.  Quotes are doubled
+    inside quoted cells; ``multiline`` allows line breaks there, at the price of one task a file.
+    With ``table`` the rows are brought to that table's schema.
     """
+    broken: set[str] = set()
+    while True:
+        try:
+            headers = csv_headers(spark, folder, broken)
+            break
+        except (PySparkException, Py4JJavaError) as error:
+            broken |= _broken_files(spark, folder, error, broken)
     layouts: dict[tuple[str, ...], list[str]] = {}
-    refused = []
-    for path, header in csv_headers(spark, folder).items():
-        if header is None or marker not in header:
-            refused.append(path)
+    without = []
+    for line, paths in headers.items():
+        cells = tuple(cell.strip() for cell in next(csv.reader([line.lstrip("\ufeff")]), []))
+        if marker in cells:
+            layouts.setdefault(cells, []).extend(paths)
         else:
-            layouts.setdefault(tuple(header), []).append(path)
-    if refused:
-        shown = ", ".join(refused[:5])
-        warnings.warn(f"{len(refused)} files without column {marker!r} are refused: {shown}", stacklevel=2)
+            without += paths
+    for files, fault in ((without, f"without column {marker!r}"), (sorted(broken), "that break off or cannot be read")):
+        if files:
+            shown = ", ".join(files[:5])
+            warnings.warn(f"{len(files)} files {fault} are refused: {shown}", stacklevel=2)
     parts = [_csv_layout(spark, header, paths, multiline) for header, paths in sorted(layouts.items())]
     if not parts:
         parts = [spark.createDataFrame([], StructType([StructField(marker, StringType())]))]
@@ -110,7 +137,7 @@ def _csv_layout(
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
-        .option("ignoreCorruptFiles", True)
+        .option("maxColumns", max(20_480, len(header) + 1))
         .csv(list(paths))
     )
     return rows.select(*[F.btrim(place).alias(name) for name, place in reversed(places.items())])

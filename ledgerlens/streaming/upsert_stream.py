@@ -1,7 +1,15 @@
-"""Continuous ingest: landed files are upserted as they arrive."""
+"""Continuous ingest: landed files are upserted as they arrive.
+
+Each commit keeps the id of the stream, which its checkpoint holds, and the number of the batch.  A
+batch that is replayed, because a run died after the commit and before the checkpoint, is
+recognised by that before any work and left out.
+"""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -11,6 +19,25 @@ from ledgerlens.operators.ingest import ingest
 from ledgerlens.sources.store import VersionedStore
 
 
+def stream_id(store: VersionedStore, checkpoint: str) -> str:
+    """Id of the stream that a checkpoint belongs to; a new checkpoint, at the same path too, is a
+    new stream."""
+    rows = store.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
+    return json.loads("".join(r.value for r in rows))["id"]
+
+
+def _taking(store: VersionedStore, checkpoint: str, raw: Callable[[DataFrame], Mapping[str, DataFrame]]):
+    """What a stream does with a batch: commit its tables once."""
+
+    def upsert_files(batch: DataFrame, batch_id: int) -> None:
+        own = VersionedStore(batch.sparkSession, store.root, store.buckets)
+        stream = stream_id(own, checkpoint)
+        if own.head().streams.get(stream, -1) < batch_id and (tables := raw(batch)):
+            ingest(own, tables, source=(stream, batch_id))
+
+    return upsert_files
+
+
 def stream_upsert(
     store: VersionedStore,
     landing: str,
@@ -21,8 +48,7 @@ def stream_upsert(
     """Upsert the files that landed since the last run, then stop.
 
     Files hold provider records as JSON, one record or one array a line.  The checkpoint
-    gives each file to one micro-batch; a batch that is replayed after a failure meets
-    its own rows and changes nothing.  Rows of one key are ordered by the time and name of their
+    gives each file to one micro-batch, and the store takes each batch once.  Rows of one key are ordered by the time and name of their
     files, so the result does not depend on the number of files a batch.  Returns the finished
     query.
     """
@@ -32,14 +58,11 @@ def stream_upsert(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
-    def upsert_files(batch: DataFrame, _batch_id: int) -> None:
-        ingest(VersionedStore(batch.sparkSession, store.root, store.buckets), {table: batch})
-
     at, file = schemas.LANDING
     query = (
         reader.json(landing)
         .select("*", F.col("_metadata.file_modification_time").alias(at), F.col("_metadata.file_path").alias(file))
-        .writeStream.foreachBatch(upsert_files)
+        .writeStream.foreachBatch(_taking(store, checkpoint, lambda batch: {table: batch}))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -78,15 +101,12 @@ def stream_upsert_all(
         rows = batch.filter(F.col("table_name") == table)
         return rows.select(F.inline(F.from_json("value", ArrayType(one))), at, file)
 
-    def upsert_files(batch: DataFrame, _batch_id: int) -> None:
+    def landed(batch: DataFrame) -> dict[str, DataFrame]:
         found = {r.table_name for r in batch.select("table_name").distinct().collect()}
-        tables = [t for t in schemas.TABLES if t in found and t != "shares_fy"]
-        if tables:
-            own = VersionedStore(batch.sparkSession, store.root, store.buckets)
-            ingest(own, {t: records(batch, t) for t in tables})
+        return {t: records(batch, t) for t in schemas.TABLES if t in found and t != "shares_fy"}
 
     query = (
-        lines.writeStream.foreachBatch(upsert_files)
+        lines.writeStream.foreachBatch(_taking(store, checkpoint, landed))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -11,7 +11,7 @@ from ledgerlens.operators import ingest, keys, manifest, normalize, upsert
 from ledgerlens.session import work_folder
 from ledgerlens.sources.store import VersionedStore
 from ledgerlens.sources.writers import bucket_count
-from ledgerlens.streaming.upsert_stream import stream_upsert
+from ledgerlens.streaming.upsert_stream import stream_upsert, stream_upsert_all
 from ledgerlens.workload.registry import register
 from ledgerlens.workload.source_queries import provider_names, write_csv_tree
 
@@ -402,3 +402,46 @@ def stream_upsert_twice(t):
         batch.write.mode("append").json(landing)
         stream_upsert(store, landing, table, checkpoint)
     return store.read(table).select(*MERGE, *VALUES)
+
+
+BALANCES = ["totalassets", "longtermdebt"]
+BALANCES_MERGED = ", ".join(
+    f"CASE WHEN o.company_id IS NULL OR {changed_sql(c)} THEN n.{c} ELSE o.{c} END AS {c}" for c in BALANCES
+)
+
+
+@register(
+    "stream_upsert_all",
+    f"SELECT {', '.join(MERGE)}, {MERGED}, {BALANCES_MERGED} FROM {FULL}",
+    snapshots=True,
+)
+def stream_two_tables(t):
+    store = _store(t)
+    landing = work_folder(t.spark, "landing")
+    checkpoint = work_folder(t.spark, "stream")
+    for snapshot in ("snapshot_old", "snapshot_new"):
+        for table, batch in _batches(t, snapshot).items():
+            batch.write.mode("append").json(f"{landing}/{table}")
+        stream_upsert_all(store, landing, checkpoint)
+    balance = store.read("balance_sheet_quarter").select(*MERGE, *BALANCES)
+    return store.read("income_statement_quarter").select(*MERGE, *VALUES).join(balance, MERGE)
+
+
+@register(
+    "upsert_feed",
+    f"""SELECT CAST(2 AS INTEGER) AS commit, 'income_statement_quarter' AS table_name, {KEYS_N},
+               CASE WHEN o.company_id IS NULL THEN 'insert' ELSE 'update' END AS op,
+               CASE WHEN o.company_id IS NULL THEN '' ELSE {CHANGED_NAMES} END AS changed_columns
+        FROM {LEFT} WHERE o.company_id IS NULL OR {ANY_CHANGE}""",
+    snapshots=True,
+)
+def upsert_feed(t):
+    """What the second of two runs changed, from the feed of the store."""
+    store = _store(t)
+    for snapshot in ("snapshot_old", "snapshot_new"):
+        ingest.ingest(store, {"income_statement_quarter": _batches(t, snapshot)["income_statement_quarter"]})
+    feed = ingest.change_log(store, after=1).filter("table_name = 'income_statement_quarter'")
+    key = F.from_json("key", "symbol string, calendaryear int, period string")
+    return feed.select(
+        "commit", "table_name", *[key[k].alias(k) for k in MERGE], "op", F.concat_ws(",", F.coalesce("changed_columns", F.array().cast("array<string>"))).alias("changed_columns")
+    )

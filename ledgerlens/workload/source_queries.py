@@ -11,6 +11,7 @@ from ledgerlens import schemas
 from ledgerlens.operators import normalize
 from ledgerlens.session import work_folder
 from ledgerlens.sources import readers, writers
+from ledgerlens.sources.store import VersionedStore
 from ledgerlens.workload.registry import register
 
 KEY = ("symbol", "date")
@@ -129,7 +130,9 @@ def _appended(t) -> str:
 )
 def src_table_scan(t):
     wanted = t["company"].filter("exchangeshortname = 'PNK'")
-    return readers.scan_table(t.spark, _appended(t), wanted).select(*KEY, "revenue")
+    store = VersionedStore(t.spark, work_folder(t.spark, "scan"))
+    store.put("income_statement_quarter", t["income_statement_quarter"])
+    return store.read_symbols("income_statement_quarter", wanted).select(*KEY, "revenue")
 
 
 @register("sink_append", INCOME_SQL.format("quarter"))

@@ -66,6 +66,49 @@ def test_nearest_price_against_brute_force(spark, seed, repeated):
     assert len(found) == len(wanted)
 
 
+SLICES = {
+    "years": F.year,
+    "quarters": lambda d: F.year(d) * 4 + F.quarter(d),
+    "ten days": lambda d: F.floor(F.datediff(d, F.lit(D(1990, 1, 1))) / 10),
+    "one": lambda d: F.lit(1),
+}
+
+
+@pytest.mark.parametrize("slices", SLICES)
+def test_nearest_price_across_slices(spark, slices):
+    """Years without a price, without a row, and with neither; edges come from far slices."""
+    rnd = random.Random(len(slices))
+    priced = sorted({(rnd.choice("ABC"), day(rnd.randrange(-9000, 9000))) for _ in range(60)} | {("D", day(0)), ("E", day(-5000)), ("E", day(5000))})
+    price = quotes(spark, [*[(s, d, float(i)) for i, (s, d) in enumerate(priced)], ("A", None, 5.0)])
+    wanted = sorted({(rnd.choice("ABCDEF"), day(rnd.randrange(-9500, 9500))) for _ in range(400)} | {("E", day(0))})
+    df = asked(spark, [(s, d, i) for i, (s, d) in enumerate(wanted)] + [("A", None, -1)])
+    found = {r.v: r.price_date for r in asof.nearest_price(df, price, slice_of=SLICES[slices]).collect()}
+    assert found.pop(-1) is None
+    for i, (s, d) in enumerate(wanted):
+        near = min(((abs((p - d).days), p) for q, p in priced if q == s), default=(None, None))
+        assert found.pop(i) == near[1]
+    assert not found
+
+
+def test_nearest_price_splits_a_symbol_of_many_rows(spark):
+    """No task holds the rows of a symbol: they are dealt by symbol and year."""
+    dates = F.expr("date_add(DATE'1900-01-01', CAST(id AS INT))")
+    price = spark.range(40_000).select(F.lit("A").alias("symbol"), dates.alias("date"), F.col("id").cast("double").alias("close"))
+    df = price.select("symbol", "date")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        found = asof.nearest_price(df, price)
+        assert found.filter("price_date = date").count() == 40_000
+        tasks = found.groupBy(F.spark_partition_id().alias("task")).agg(F.count("price_date").alias("rows")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # 110 years over 32 tasks: some hold several years, none a large share.
+    assert sum(r["rows"] for r in tasks) == 40_000 and max(r["rows"] for r in tasks) <= 12 * 366
+
+
 def test_exact_price_rolls_back_from_weekend(spark):
     price = quotes(spark, [("A", D(2024, 1, 5), 1.0), ("A", D(2024, 1, 6), 9.0)])
     df = asked(spark, [("A", D(2024, 1, 7), 1), ("A", D(2024, 1, 8), 2)])

@@ -1,9 +1,11 @@
 """Readers and writers on small files."""
 
 import datetime
+import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.sources import readers, writers
 from tests.conftest import rows
@@ -69,6 +71,36 @@ def test_csv_tree_without_files(spark, tmp_path):
     assert readers.read_csv_tree(spark, str(tmp_path), "price").count() == 0
 
 
+def test_broken_and_compressed_csv_files(spark, tmp_path):
+    text = "symbol,revenue\n" + "".join(f"{{0}}{i},{i}\n" for i in range(20_000))
+    whole = gzip.compress(text.replace("{0}", "W").encode()) + gzip.compress(b"V,1\n")
+    (tmp_path / "w.csv.gz").write_bytes(whole)
+    (tmp_path / "plain.csv").write_text("\n \nsymbol,revenue\nP,7\n")
+    cut = gzip.compress(text.replace("{0}", "C").encode())
+    (tmp_path / "cut1.csv.gz").write_bytes(cut[: len(cut) // 2])
+    (tmp_path / "cut2.csv.gz").write_bytes(cut[:-4])
+    (tmp_path / "not.csv.gz").write_bytes(b"symbol,revenue\nN,7\n")
+    with pytest.warns(UserWarning, match="3 files that break off.*cut1.csv.gz.*cut2.csv.gz.*not.csv.gz"):
+        raw = readers.read_csv_tree(spark, str(tmp_path))
+    found = raw.groupBy(F.substring("symbol", 1, 1).alias("s")).agg(F.count("*").alias("n"))
+    assert rows(found) == [("P", 1), ("V", 1), ("W", 20_000)]
+
+
+def test_csv_header_of_over_a_megabyte(spark, tmp_path):
+    names = [f"c{i}_" + "x" * 9_000 for i in range(150)]
+    (tmp_path / "h.csv").write_text(",".join([*names, "symbol"]) + "\n" + ",".join([*map(str, range(150)), "H"]) + "\n")
+    (tmp_path / "s.csv").write_text("symbol\nS\n")
+    raw = readers.read_csv_tree(spark, str(tmp_path))
+    assert rows(raw.select("symbol", names[149])) == [("H", "149"), ("S", None)]
+
+
+def test_csv_headers_are_not_opened_by_the_driver(spark, tmp_path, monkeypatch):
+    for k in range(30):
+        (tmp_path / f"{k}.csv").write_text(f"symbol,{'a' if k % 2 else 'b'}\nS{k},{k}\n")
+    found = readers.csv_headers(spark, str(tmp_path))
+    assert {line: len(paths) for line, paths in found.items()} == {"symbol,a": 15, "symbol,b": 15}
+
+
 def test_json_records_one_response_per_file(spark, tmp_path):
     records = [
         {"symbol": "A", "date": "2020-03-31", "calendarYear": "2020", "revenue": 5, "eps": 1.5, "new": 1},

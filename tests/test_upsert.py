@@ -288,10 +288,12 @@ def test_two_runs_at_once(spark, tmp_path, monkeypatch):
 
 def test_commit_number_is_taken_once(spark, tmp_path):
     store = VersionedStore(spark, str(tmp_path / "store"), buckets=1)
-    store.commit(0, {}, {"price": [0]}, "first")
+    base = store.head()
+    store.commit(base, {"price": [(0, 2020)]}, "first")
     with pytest.raises(CommitConflict):
-        store.commit(0, {}, {"price": [0]}, "second")
-    assert store.current() == (1, {"price": {0: "first"}})
+        store.commit(base, {"price": [(0, 2020)]}, "second")
+    assert store.current() == (1, {"price": {(0, 2020): "first"}})
+    assert [f.name for f in (tmp_path / "store" / "_commits").iterdir()] == ["0000000001.json"]
 
 
 def test_shares_and_change_log_of_a_run(spark, tmp_path):
