@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,8 @@ from ledgerlens.session import work_folder
 ARROW_ROWS = 512
 #: Rows of a side that may be broadcast; the sides it is used for are some tens of bytes wide.
 BROADCAST_ROWS = 20_000
+#: Characters of texts that a worker takes at once.
+CHARACTERS = 2_000_000
 #: The ASCII white space that separates words.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -54,3 +56,17 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted
+
+
+def pieces(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    """Texts in order, at most ``CHARACTERS`` at a time or a single one."""
+    part, size = [], 0
+    for t in texts:
+        t = t or ""
+        if part and size + len(t) > CHARACTERS:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t)
+    if part:
+        yield part

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, islice
 
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ledgerlens.llm.common import held_out, stored
+from ledgerlens.llm.common import held_out, pieces, stored
 from ledgerlens.llm.segments import Codes
 
 #: Labelled texts that vote, and counts of them that the decomposition takes.
@@ -44,8 +44,8 @@ BUCKETS = 1 << 15
 RANK, EXTRA, ROUNDS = 64, 16, 4
 NEIGHBOURS = 25
 THRESHOLD = 0.3
-#: Characters of the texts that are counted together, texts whose cosines are, tokens remembered.
-CHARACTERS, BLOCK, REMEMBERED = 2_000_000, 512, 300_000
+#: Texts whose cosines are taken together, and tokens remembered.
+BLOCK, REMEMBERED = 512, 300_000
 
 #: Place of the tokens that repeat the one before.
 AGAIN = zlib.crc32(b"again") % BUCKETS
@@ -101,20 +101,6 @@ class Counter:
         return Counts(len(texts), keys // BUCKETS, keys % BUCKETS, count)
 
 
-def pieces(texts: Iterable[str | None]) -> Iterator[list[str]]:
-    """Texts in order, at most ``CHARACTERS`` at a time or a single one."""
-    part, size = [], 0
-    for t in texts:
-        t = t or ""
-        if part and size + len(t) > CHARACTERS:
-            yield part
-            part, size = [], 0
-        part.append(t)
-        size += len(t)
-    if part:
-        yield part
-
-
 def frequencies(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
     """Number of texts, and for each place the number of texts that hold it."""
 

@@ -42,9 +42,15 @@ def slow_log_p(raw, alphabet, context, c):
     return math.log(p(context, c))
 
 
-def test_model_matches_the_formula():
+def modelled(spark, raw):
+    """The identifier of {language: {gram: n}}."""
+    rows = [(k, g, n) for k, grams in raw.items() for g, n in grams.items()]
+    return L.models(spark.createDataFrame(rows, "lang string, gram string, n long"))
+
+
+def test_model_matches_the_formula(spark):
     raw = Counter(g for _, t, _ in made(30, "cc") for w in t.lower().split() for g in L.grams(L.letters(w)))
-    own = L.Identifier({"cc": dict(raw)})
+    own = modelled(spark, {"cc": raw})
     alphabet = len({g[-1] for g in raw}) + 1
     words = ["eau", "quément", "x", "laxla", "ééé", "m", ""]
     got, sizes = own.words(words)
@@ -54,15 +60,18 @@ def test_model_matches_the_formula():
         assert sizes[i] == (len(w) + 1 if w else 0)
 
 
-def test_probabilities_sum_to_one():
+def test_probabilities_sum_to_one(spark):
     raw = Counter(g for _, t, _ in made(20, "bb") for w in t.lower().split() for g in L.grams(L.letters(w)))
-    m = L.LanguageModel(dict(raw), len({g[-1] for g in raw}))
+    raw = {g: n for g, n in raw.items()}
+    # One character that no text holds takes what is left.
+    m = modelled(spark, {"bb": raw}).models[0]
     for context in ("^", "sch", "ung", "^e", "zz"):
         codes = np.zeros((len({g[-1] for g in raw}), L.ORDER), np.int64)
         for i, c in enumerate(sorted({g[-1] for g in raw})):
             s = context[-3:] + c
             codes[i, L.ORDER - len(s) :] = list(map(ord, s))
-        assert np.exp(m.log_p(codes)).sum() == pytest.approx(1, abs=1e-9)
+        unseen = np.where(np.arange(L.ORDER) == L.ORDER - 1, ord("@"), codes[:1])
+        assert np.exp(m.log_p(np.concatenate([codes, unseen]))).sum() == pytest.approx(1, abs=1e-9)
 
 
 def test_held_out_accuracy_and_edges(spark):
@@ -100,12 +109,15 @@ def test_nothing_learnt(spark):
     assert L.digest(spark.createDataFrame([], schema)).count() == 0
 
 
-def test_cleared_memory_changes_nothing(monkeypatch):
+def test_cleared_memory_changes_nothing(spark, monkeypatch):
     raw = {k: dict(Counter(g for _, t, _ in made(20, k) for w in t.lower().split() for g in L.grams(L.letters(w)))) for k in ("aa", "bb")}
     texts = [t for _, t, _ in made(40)]
-    whole = L.Identifier(raw).judge(texts)
+    own = modelled(spark, raw)
+    whole = own.judge(texts)
     monkeypatch.setattr(L, "REMEMBERED", 5)
-    own = L.Identifier(raw)
+    monkeypatch.setattr(L, "WINDOWS", 40)
+    own.clear()
+    own.forget()
     for i, t in enumerate(texts):
         one = own.judge([t]).iloc[0]
         assert one["lang_pred"] == whole.iloc[i]["lang_pred"] and one["score"] == pytest.approx(whole.iloc[i]["score"])
@@ -118,11 +130,34 @@ def test_a_model_keeps_all_grams(spark):
     docs = spark.createDataFrame([(i, t, "zh") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
     raw = Counter(g for t in texts for w in t.split() for g in L.grams(w))
     assert len(raw) > 100_000
-    got, want = L.train(docs, F.lit(True)).models[0], L.Identifier({"zh": dict(raw)}).models[0]
+    got, want = L.train(docs, F.lit(True)).models[0], modelled(spark, {"zh": raw}).models[0]
+    assert set(L.hash_strings(list(raw))) <= set(got.grams.keys)
     for mine, whole in ((got.grams, want.grams), (got.contexts, want.contexts)):
         assert np.array_equal(mine.keys, whole.keys) and np.array_equal(mine.values, whole.values)
 
 
+def test_counts_are_those_of_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(L, "COUNTED", 30)
+    rows = made(80) + [(900, "Ab-c ab c!! \U0001d400z", "aa"), (901, None, "aa"), (902, "word", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {(r["lang"], r["gram"]): r["n"] for r in L.counts(docs, "text", "lang").collect()}
+    want = Counter((k, g) for _, t, k in rows if t and k for w in t.lower().split() if L.letters(w) for g in L.grams(L.letters(w)))
+    assert got == want
+
+
+def test_columns_and_digest_agree(spark):
+    """Scores by columns, in one pass, equal those of the identifier."""
+    rows = made(150)
+    docs = spark.createDataFrame([(*r, 1.0, "x") for r in rows], "doc_id long, text string, lang string, score double, e string")
+    own = L.train(docs, F.lit(True))
+    want = own.judge([t for _, t, _ in rows])
+    got = L.identified(docs, own).orderBy("doc_id").toPandas()
+    assert list(got["lang_pred"]) == list(want["lang_pred"]) and list(got["rejected"]) == list(want["rejected"])
+    assert got["score"].to_numpy() == pytest.approx(want["score"].to_numpy())
+    assert got["entropy"].to_numpy() == pytest.approx(want["entropy"].to_numpy())
+    assert set(got["e"]) == {"x"}
+
+
 def test_limits_come_from_all_texts(spark, monkeypatch):
     rows = made(700)
     monkeypatch.setattr(L, "SAMPLE", 5)
