@@ -6,13 +6,13 @@ each distinct segment is encoded once and texts are put together from the codes
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from itertools import chain, islice
 
 import numpy as np
 
-#: Distinct segments that a worker remembers; then it starts anew.
-REMEMBERED = 100_000
+#: Distinct segments, and ids of them, that a worker remembers; then it starts anew.
+REMEMBERED, IDS = 100_000, 8_000_000
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -44,19 +44,30 @@ class SegmentCache:
 
     def encode(self, texts: Sequence[Sequence[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and the number of ids of each; a text is its segments."""
-        if len(self.known) > (self.remembered or REMEMBERED):
+        return self._joined(self._codes(chain.from_iterable(texts)), np.array([len(t) for t in texts], np.int64))
+
+    def encode_distinct(self, segments: Sequence[str], at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts of ``sizes`` segments, which ``at`` names by their places in
+        ``segments``: these alone are looked up one by one."""
+        return self._joined(self._codes(segments)[at], sizes)
+
+    def _codes(self, segments: Iterable[str]) -> np.ndarray:
+        if len(self.known) > (self.remembered or REMEMBERED) or len(self.flat) > IDS:
             self.clear()
         known = self.known
         first = len(known)
-        codes = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64)
+        codes = np.fromiter(map(known.__getitem__, segments), np.int64)
         if len(known) > first:
             new = list(islice(known, first, None))
             flat, lengths = self.encode_new(new)
             self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
             self.lengths = np.concatenate([self.lengths, lengths])
+        return codes
+
+    def _joined(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = np.cumsum(self.lengths) - self.lengths
         lengths = self.lengths[codes]
         ids = self.flat[ranges(starts[codes], lengths)]
         done = np.concatenate([[0], np.cumsum(lengths)])
-        edges = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+        edges = np.concatenate([[0], np.cumsum(sizes)])
         return ids, np.diff(done[edges])

@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,6 +44,10 @@ STEMS = 800_000
 LINES = 200
 #: Perhaps a line break, a word of letters up to U+024F, perhaps a mark.
 LATIN = re.compile("(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]?)").fullmatch
+#: White space at an end, next to other white space, or that is no plain space or line break.
+ODD_SPACE = (
+    r"^[ \n]|[ \n]$|[ \n][ \n]|[\t\r\v\f\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 CODED = "doc_id long, n_tokens long, codes binary"
 BLOCKS = "part int, block long, start long, doc_ids array<long>, lengths array<long>, control binary, data binary"
 #: Bytes that each of the four ids of a control byte takes, and which of four bytes are there.
@@ -106,13 +111,14 @@ class ByteTokenizer:
         self.stems = SegmentCache(self.encode_stems, STEMS)
         self.cache = SegmentCache(lambda new: self.stems.encode([self.stems_of(s) for s in new]), STEMS)
 
-    def segments(self, text: str | None) -> list[str]:
-        """Empty for a text that the library gets whole."""
-        if not text or not self.plain or any(t in text for t in self.added):
-            return []
-        if " ".join(text.split()) != text.replace("\n", " "):  # other white space than single spaces and breaks
-            return []
-        return ("\n" + text).replace("\n", " \n").split(" ")[1:]
+    def separable(self, texts: pa.Array) -> np.ndarray:
+        """Which texts fall into segments; the library gets the others whole."""
+        if not self.plain:
+            return np.zeros(len(texts), bool)
+        odd = pc.match_substring_regex(texts, ODD_SPACE)
+        for t in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, t))
+        return ~odd.to_numpy(zero_copy_only=False)
 
     def stems_of(self, segment: str) -> tuple[str, ...]:
         """Pieces in the letters of the model; a segment of another kind stays one, after a NUL."""
@@ -154,14 +160,19 @@ class ByteTokenizer:
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        parts = [self.segments(t) for t in texts]
-        flat, counts = self.cache.encode(parts)
-        found = [x[1:] for x in np.split(flat, np.cumsum(counts))[:-1]]  # without the added break
-        for k, t in enumerate(texts):
-            if t and not parts[k]:
-                found[k] = np.array(self.lib.encode(t, add_special_tokens=False).ids, np.int32)
-        return found
+    def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
+        """Ids of each text.  Arrow cuts the texts and finds the distinct segments of a batch, which
+        alone become Python strings."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        separable = self.separable(texts)
+        lines = pc.replace_substring(texts.filter(pa.array(separable)), "\n", " \n")
+        words = pc.split_pattern(pc.binary_join_element_wise("\n", lines, ""), " ")
+        distinct = words.flatten().dictionary_encode()
+        sizes = np.diff(words.offsets.to_numpy()).astype(np.int64)
+        flat, counts = self.cache.encode_distinct(distinct.dictionary.to_pylist(), distinct.indices.to_numpy(), sizes)
+        cut = iter(np.split(flat, np.cumsum(counts))[:-1])
+        # Without the added break.
+        return [next(cut)[1:] if s else np.array(self.lib.encode(t.as_py(), add_special_tokens=False).ids, np.int32) for s, t in zip(separable, texts, strict=True)]
 
 
 @cache
@@ -181,7 +192,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.append(x, end_id).astype(kind) for x in tokenizer(path).encode(b["text"].to_pylist())]
+            found = [np.append(x, end_id).astype(kind) for x in tokenizer(path).encode(b["text"])]
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],
                 ["doc_id", "n_tokens", "codes"],
