@@ -4,13 +4,19 @@ Symbols of many words lie in flat numpy arrays.  In each round every word finds
 among its neighbouring pairs (a segmented minimum), merges all leftmost non-overlapping pairs of
 that rank at once, and the arrays are compacted; a word without a pair is done and leaves.
 
-Merging all pairs of a rank at once equals merging one after another unless the new symbol can
-form a pair of the same or a lesser rank at once; for the few such pieces only the leftmost pair
-of a word is merged in a round.
+Merging all pairs of a rank at once equals merging one after another unless a merge makes a new
+pair, with the neighbours it then has, of the same or a lesser rank.  So in a round the merges of a
+word are taken up to the first that does, and the rest waits for the next round.
+
+A stretch of over ``LONG`` characters without a space (a script without spaces, an encoded image) is
+cut, in each round, between symbols that lie side by side in no piece of the model: no merge will
+ever cross there.  Its parts then go through the rounds like words of their own, so that the time
+follows the length.  Where rounds hardly get on because merges wait for each other (a run of
+thousands of spaces, whose pieces are all of one rank), what is left is merged from a heap.
 
 Covers BPE models with byte fallback whose normaliser changes nothing but spaces (checked when a
 model is loaded).  Defined results: a null or empty text has no ids, no ids decode to an empty
-text, null ids decode to null.  Repeated rows, null ids and empty tables need no special case;
+text, null ids decode to null; texts of any length are encoded whole.  Repeated rows, null ids and empty tables need no special case;
 columns of the input stay, and the added column replaces one of its name.
 """
 
@@ -19,7 +25,8 @@ from __future__ import annotations
 import codecs
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +38,13 @@ from ledgerlens.llm.segments import SegmentCache, ranges
 
 SPACE = "▁"
 NONE = np.iinfo(np.int64).max
-#: Characters of segments that go through the rounds at once.
+#: Stands for a symbol that was merged into the one before; -1 is a character of no piece.
+GONE = -2
+#: Characters of segments that go through the rounds at once, and of a segment that is cut.
 CHARS_AT_ONCE = 2_000_000
+LONG = 200
+#: Symbols for each merge of a round from which on the rest of a batch goes to the heap.
+WAITING = 1000
 
 
 def _each_byte(error: UnicodeError) -> tuple[str, int]:
@@ -105,11 +117,13 @@ class PieceModel:
         for s, i in symbols.items():
             if len(s) == 1:
                 self.char_symbol[ord(s)] = i
+        self.normal, self.symbols = normal, symbols
         pairs = {}
         for p, i in normal.items():
             for k in range(1, len(p)):
                 if p[:k] in symbols and p[k:] in symbols:
                     pairs[symbols[p[:k]], symbols[p[k:]]] = i
+        self.piece_of = pairs
         self.pairs = PairTable(pairs, max(symbols.values()) + 1)
         self.one_by_one = np.zeros(n, bool)
         for (left, right), i in pairs.items():
@@ -148,39 +162,125 @@ class PieceModel:
                 at, chars = k, 0
         return np.concatenate(flat), np.concatenate(lengths)
 
+    @cached_property
+    def side_by_side(self) -> np.ndarray:
+        """Sorted keys of the pairs of symbols that lie side by side in a piece."""
+        inside = {p[i:j] for p in self.normal for i in range(len(p)) for j in range(i + 2, len(p) + 1)}
+        at, width = self.symbols, int(self.pairs.width)
+        keys = [at[t[:k]] * width + at[t[k:]] for t in inside for k in range(1, len(t)) if t[:k] in at and t[k:] in at]
+        return np.unique(np.array(keys, np.uint64))
+
+    def meet(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether a merge may ever cross the place between two symbols."""
+        known = (left >= 0) & (right >= 0)
+        keys = np.where(known, left, 0).astype(np.uint64) * self.pairs.width + np.where(known, right, 0).astype(np.uint64)
+        at = np.minimum(np.searchsorted(self.side_by_side, keys), len(self.side_by_side) - 1)
+        return known & (self.side_by_side[at] == keys)
+
     def merge(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The merge rounds."""
         points = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        word = np.repeat(np.arange(len(segments)), [len(s) for s in segments])
+        sizes = np.array([len(s) for s in segments], np.int64)
+        word = np.repeat(np.arange(len(segments)), sizes)
+        long = np.repeat(sizes > LONG, sizes)
         first = np.arange(len(points))
         symbol = self.char_symbol[points]
+        joined = word[:-1] == word[1:]
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while len(symbol):
-            able = (word[:-1] == word[1:]) & (symbol[:-1] >= 0) & (symbol[1:] >= 0)
-            at = np.flatnonzero(able)
+            if long.any():
+                look = np.flatnonzero(joined & long[:-1])
+                joined[look] = self.meet(symbol[look], symbol[look + 1])
+            at = np.flatnonzero(joined & (symbol[:-1] >= 0) & (symbol[1:] >= 0))
             piece = np.full(len(symbol), -1, np.int64)
             piece[at] = self.pairs.find(symbol[at], symbol[at + 1])
             rank = np.where(piece >= 0, self.rank[piece], NONE)
-            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            sizes = np.diff(np.append(starts, len(word)))
-            least = np.minimum.reduceat(rank, starts)
-            least_here = np.repeat(least, sizes)
+            begins = np.concatenate([[True], ~joined])
+            starts = np.flatnonzero(begins)
+            part = np.cumsum(begins) - 1
+            least_here = np.minimum.reduceat(rank, starts)[part]
             rest = least_here != NONE
             done.append((word[~rest], first[~rest], symbol[~rest]))
 
             chosen = np.flatnonzero((rank == least_here) & rest)
-            fresh = np.concatenate([[True], np.diff(chosen) != 1]) if len(chosen) else np.zeros(0, bool)
-            run = np.maximum.accumulate(np.where(fresh, np.arange(len(chosen)), 0))
-            even = (np.arange(len(chosen)) - run) % 2 == 0
-            leftmost = np.concatenate([[True], np.diff(word[chosen]) != 0]) if len(chosen) else fresh
-            chosen = chosen[np.where(self.one_by_one[piece[chosen]], leftmost, even)]
-            symbol[chosen] = piece[chosen]
-            rest[chosen + 1] = False
-            word, first, symbol = word[rest], first[rest], symbol[rest]
+            if len(chosen):
+                chosen = self.in_order(chosen, symbol, piece, rank, part)
+                if len(symbol) > WAITING * len(chosen):
+                    kept, left = self.from_heap(symbol[rest].tolist(), part[rest].tolist())
+                    done.append((word[rest][kept], first[rest][kept], left))
+                    break
+                symbol[chosen] = piece[chosen]
+                # The place after the second symbol of a pair is now the place after the new one.
+                joined[chosen] = np.append(joined, False)[chosen + 1]
+                rest[chosen + 1] = False
+            joined = joined[rest[:-1]] if rest[-1] else np.append(joined, False)[rest][:-1]
+            word, first, symbol, long = word[rest], first[rest], symbol[rest], long[rest]
         word, first, symbol = (np.concatenate(x) for x in zip(*done, strict=True))
         order = np.argsort(first, kind="stable")
         return self.to_ids(word[order], points[first[order]], symbol[order], len(segments))
 
+    def from_heap(self, symbol: list[int], part: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Places and symbols that are left when pairs are merged one after another."""
+        n, rank, piece_of = len(symbol), self.rank.tolist(), self.piece_of
+        after = [i + 1 if i + 1 < n and part[i + 1] == part[i] else -1 for i in range(n)]
+        before = [i - 1 if i and part[i - 1] == part[i] else -1 for i in range(n)]
+        heap: list[tuple[int, int, int, int]] = []
+
+        def offer(i: int) -> None:
+            pair = symbol[i], symbol[after[i]]
+            if pair in piece_of:
+                heappush(heap, (rank[piece_of[pair]], i, *pair))
+
+        for i in range(n):
+            if after[i] >= 0:
+                offer(i)
+        while heap:
+            _, i, left, right = heappop(heap)
+            j = after[i]
+            if symbol[i] != left or j < 0 or symbol[j] != right:
+                continue  # a merge took one of the two
+            symbol[i], symbol[j] = piece_of[left, right], GONE
+            after[i] = after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+                offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        left = np.array(symbol, np.int64)
+        kept = np.flatnonzero(left != GONE)
+        return kept, left[kept]
+
+    def in_order(self, chosen: np.ndarray, symbol: np.ndarray, piece: np.ndarray, rank: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """The merges of a round, out of all pairs of the least rank: leftmost ones that do not
+        overlap, in each part up to the first that makes a pair of the same or a lesser rank."""
+        fresh = np.concatenate([[True], np.diff(chosen) != 1])
+        run = np.maximum.accumulate(np.where(fresh, np.arange(len(chosen)), 0))
+        chosen = chosen[(np.arange(len(chosen)) - run) % 2 == 0]
+        wary = np.flatnonzero(self.one_by_one[piece[chosen]])
+        if not len(wary):
+            return chosen
+        at, new, bound = chosen[wary], piece[chosen[wary]], rank[chosen[wary]]
+        after = np.zeros(len(symbol) + 3, np.int64)
+        after[:-3] = symbol
+        parts = np.concatenate([part, np.full(3, -1)])
+        makes = np.zeros(len(at), bool)
+        # What stands before is the piece of the merge before, where that is next to this one.
+        previous = np.where(wary > 0, chosen[wary - 1], -9) == at - 2
+        left = np.where(previous, piece[at - 2], after[at - 1])
+        for there, pair in (
+            ((at > 0) & (parts[at - 1] == parts[at]) & (left >= 0), (left, new)),
+            ((parts[at + 2] == parts[at]) & (after[at + 2] >= 0), (new, after[at + 2])),
+        ):
+            k = np.flatnonzero(there)
+            made = self.pairs.find(pair[0][k], pair[1][k])
+            makes[k] |= (made >= 0) & (self.rank[made] <= bound[k])
+        stops = np.zeros(len(chosen), np.int64)
+        stops[wary] = makes
+        before = np.cumsum(stops) - stops
+        begins = np.concatenate([[True], np.diff(part[chosen]) != 0])
+        start = np.maximum.accumulate(np.where(begins, np.arange(len(chosen)), 0))
+        return chosen[before == before[start]]
+
     def to_ids(self, word, point, symbol, n_words) -> tuple[np.ndarray, np.ndarray]:
         """Symbols outside the vocabulary are single characters and become their bytes."""
         odd = (symbol < 0) | (symbol >= self.size)

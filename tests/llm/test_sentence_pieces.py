@@ -1,6 +1,10 @@
 import hashlib
+import random
+import string
+import time
 
 import public_tokenizers
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -57,3 +61,38 @@ def test_digest(spark):
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(LIB.decode(ids).encode()).hexdigest()
     assert S.digest(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+R = random.Random(9)
+STRETCHES = {
+    "base62": lambda n: "".join(R.choice(string.ascii_letters + string.digits) for _ in range(n)),
+    "letters": lambda n: "".join(R.choice(string.ascii_lowercase) for _ in range(n)),
+    "words without spaces": lambda n: "".join(R.choice(["function", "return", "the", "value", "(x)", "this.", "=>", "{", "}"]) for _ in range(n // 5)),
+    "Chinese": lambda n: "".join(chr(0x4E00 + R.randrange(3000)) for _ in range(n)),
+    "one letter": lambda n: "a" * n,
+    "spaces": lambda n: " " * n,
+    "two letters": lambda n: "ab" * (n // 2),
+}
+
+
+@pytest.mark.parametrize("kind", STRETCHES)
+def test_long_stretches_take_time_in_proportion(kind):
+    text = STRETCHES[kind](1_000_000)
+    own = S.PieceModel(PATH)
+    start = time.perf_counter()
+    flat, _ = own.encode([text])
+    assert time.perf_counter() - start < 60
+    assert flat.tolist() == LIB.encode(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("aeh t▁中0", max_size=300) | st.text("etaoinshr", min_size=5, max_size=300), max_size=3))
+def test_cutting_changes_nothing(texts):
+    own = S.model(PATH)
+    own.cache.clear()
+    before, S.LONG = S.LONG, 3
+    try:
+        assert own.encode(texts)[0].tolist() == [i for t in texts for i in LIB.encode(t)]
+    finally:
+        S.LONG = before
+        own.cache.clear()
