@@ -4,13 +4,15 @@ Every rule is evaluated once for each text.  The ledger keeps the measurements a
 each rule that failed; policies are masks over these bits, so that a new version of a policy or
 an ablation reads the ledger and never the texts.
 
-Defined results: a null text counts as empty (no words, fails ``too_short``).  Ties, repeated
+Defined results: a null text counts as empty (no words, fails ``too_short``); very long texts are
+measured whole.  Ties, repeated
 rows and null ids are ordinary rows, each judged alone.  An empty table gives an empty ledger.
 Columns of the input stay; new columns that clash with them replace them.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -23,10 +25,13 @@ from ledgerlens.llm.common import free_name, session_of
 
 WINDOW = 8
 MEASURES = (
-    "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_bangs".split()
+    "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_bangs n_unspaced".split()
 )
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
+#: Characters of scripts without spaces: Thai and Lao, Burmese, Khmer, kana and Han, with their marks.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+STRETCHES = re.compile(f"[{UNSPACED}]+")
 #: Words that are compared at once, so that memory does not follow the batch.
 WORDS_AT_ONCE = 1_000_000
 
@@ -64,9 +69,12 @@ RULES = (
     Rule(4, "shouting", "100 * n_bangs > 30 * n_words"),
     Rule(5, "long_words", "word_chars > 14 * n_words"),
     Rule(6, "tiny_words", "word_chars < 2 * n_words"),
+    Rule(7, "long_spaced_words", "word_chars - n_unspaced > 14 * n_words"),
 )
 BASE = Policy("base", ("too_short", "repetitive"))
-STRICT = Policy("2", tuple(r.name for r in RULES))
+#: Version 2 rejected clean texts of scripts without spaces for the length of their words.
+STRICT_2 = Policy("2", tuple(r.name for r in RULES[:7]))
+STRICT = Policy("3", tuple(r.name for r in RULES if r.name != "long_words"))
 
 
 def repeated_words(codes: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
@@ -105,7 +113,8 @@ def measure(texts: Iterable[str | None]) -> pd.DataFrame:
 
     for text in texts:
         text = text or ""
-        words = text.encode("utf-8", "surrogatepass").split()
+        raw = text.encode("utf-8", "surrogatepass")
+        words = raw.split()
         lines = [x for x in text.split("\n") if x.strip(SPACES)]
         known: dict[bytes, int] = {}
         codes += [known.setdefault(w, first + len(known)) for w in words]
@@ -120,6 +129,8 @@ def measure(texts: Iterable[str | None]) -> pd.DataFrame:
                 0,
                 len(lines),
                 text.count("!"),
+                # The first byte of such a character is at least 0xE0; most texts have none.
+                sum(map(len, STRETCHES.findall(text))) if np.frombuffer(raw, np.uint8).max(initial=0) >= 0xE0 else 0,
             )
         )
         if len(codes) >= WORDS_AT_ONCE:
@@ -194,7 +205,7 @@ def judged(docs: DataFrame) -> DataFrame:
     base = F.col("failed_bits").bitwiseAND(BASE.mask) != 0
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base.alias("base_failed"), "kept", "n_lines", "n_bangs", "failed_bits",
+        base.alias("base_failed"), "kept", "n_lines", "n_bangs", "n_unspaced", "failed_bits",
     )
 
 
@@ -223,7 +234,8 @@ m AS (
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
          CAST(len(lines) AS BIGINT) AS n_lines,
-         CAST(length(regexp_replace(text, '[^!]', '', 'g')) AS BIGINT) AS n_bangs
+         CAST(length(regexp_replace(text, '[^!]', '', 'g')) AS BIGINT) AS n_bangs,
+         CAST(length(regexp_replace(text, '[^\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3000}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF00}-\x{FFEF}\x{20000}-\x{3FFFF}]', '', 'g')) AS BIGINT) AS n_unspaced
   FROM w LEFT JOIN rep USING (doc_id)
 ),
 b AS (
@@ -234,10 +246,11 @@ b AS (
     + (CASE WHEN 100 * n_dup_lines > 45 * n_lines THEN 8 ELSE 0 END)
     + (CASE WHEN 100 * n_bangs > 30 * n_words THEN 16 ELSE 0 END)
     + (CASE WHEN word_chars > 14 * n_words THEN 32 ELSE 0 END)
-    + (CASE WHEN word_chars < 2 * n_words THEN 64 ELSE 0 END) AS BIGINT) AS failed_bits
+    + (CASE WHEN word_chars < 2 * n_words THEN 64 ELSE 0 END)
+    + (CASE WHEN word_chars - n_unspaced > 14 * n_words THEN 128 ELSE 0 END) AS BIGINT) AS failed_bits
   FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (failed_bits & 3) <> 0 AS base_failed, failed_bits = 0 AS kept, n_lines, n_bangs, failed_bits
+       (failed_bits & 3) <> 0 AS base_failed, (failed_bits & 223) = 0 AS kept, n_lines, n_bangs, n_unspaced, failed_bits
 FROM b
 """
