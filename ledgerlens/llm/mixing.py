@@ -12,8 +12,10 @@
    as a whole; only the documents of one narrow bin are ordered.
 
 DataFrame functions only.  Defined results: a null or empty text has size 0 and is never taken.
-Ties of the rank go by doc_id and text; rows that are equal in all of these share their fate.  A null source is a source.  An empty table gives no
-row.  Reruns agree.  Columns of the input stay; added ones replace those of their name.
+Ties of the rank go by doc_id and text.  Rows that are equal in all of these are taken as one group,
+and of the group at the cut as many as fill the rest; which of them is told by a number that they
+get in a stored table, so that no task holds the group.  Very long texts are counted whole.  A null
+source is a source.  An empty table gives no row.  Reruns agree, up to which of equal rows.  Columns of the input stay; added ones replace those of their name.
 """
 
 from __future__ import annotations
@@ -113,10 +115,11 @@ def bins() -> list[Column]:
 
 
 def cut(rows: DataFrame, by_source: DataFrame) -> DataFrame:
-    """``by_source`` with ``last``: the struct of place and ties of the last document taken.
+    """``by_source`` with ``last``: the struct of place and ties of the last document taken, and
+    with the number of ``equal`` rows there and how many of them ``fit``.
 
     Sums by bin give the bin in which the rest of the source is filled, sums by the bins within it
-    the narrower one; the documents of that one are ordered.
+    the narrower one; the documents of that one are ordered, equal ones as one.
     """
     found = by_source.select(*KEY, F.col("rest").alias("open")).filter("open > 0")
     inside = rows
@@ -130,11 +133,27 @@ def cut(rows: DataFrame, by_source: DataFrame) -> DataFrame:
         inside = small_join(inside, cuts, KEY).filter("bin = cut").drop("open", "bin", "cut", "left")
         found = cuts.select(*KEY, F.col("left").alias("open"))
         by_source = by_source.join(cuts.select(*KEY, F.col("cut").alias(f"cut{level}")), KEY, "left")
-    inside = small_join(inside, found, KEY)
+    inside = small_join(inside, found, KEY).groupBy(*KEY, "open", *TIES, "size").agg(F.count("*").alias("equal"))
     order = Window.partitionBy(*KEY).orderBy(*TIES)
-    upto = F.sum("size").over(order)
-    last = inside.withColumn("upto", upto).filter(F.col("upto") - F.col("size") / 2 <= F.col("open"))
-    return by_source.join(last.groupBy(*KEY).agg(F.max(F.struct(*TIES)).alias("last")), KEY, "left")
+    before = F.sum(F.col("size") * F.col("equal")).over(order) - F.col("size") * F.col("equal")
+    fit = F.least(F.col("equal"), F.floor((F.col("open") - before) / F.col("size") + 0.5))
+    taken = inside.withColumn("fit", fit.cast("long")).filter("fit > 0")
+    at = F.struct(*TIES)
+    last = taken.groupBy(*KEY).agg(F.max(at).alias("last"), F.max_by("fit", at).alias("fit"), F.max_by("equal", at).alias("equal"))
+    return by_source.join(last, KEY, "left")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``number``, from 1 in each source.  Rows count within their part of the stored
+    table, and parts begin behind the parts before them."""
+    rows = stored(rows.withColumn("_at", F.monotonically_increasing_id()), "mix-equal")
+    rows = rows.withColumn("_part", F.shiftright("_at", 33))
+    parts = rows.groupBy(*KEY, "_part").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*KEY).orderBy("_part"))
+    parts = stored(parts.select(*KEY, "_part", (upto - F.col("n")).alias("before")), "mix-parts")
+    inside = F.row_number().over(Window.partitionBy(*KEY, "_part").orderBy("_at"))
+    rows = small_join(rows.withColumn("number", inside), parts, [*KEY, "_part"])
+    return rows.withColumn("number", F.col("number") + F.col("before")).drop("_at", "_part", "before")
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", weights: Sequence[float] = WEIGHTS,
@@ -160,8 +179,18 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", weights:
     wide = small_join(wide, by_source, KEY, "left").withColumn("place", place())
     first, second = bins()
     earlier = (first < F.col("cut0")) | ((first == F.col("cut0")) & (second < F.col("cut1")))
-    more = (F.col("rest") > 0) & (earlier | ((first == F.col("cut0")) & (second == F.col("cut1")) & (F.struct(*TIES) <= F.col("last"))))
-    copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce(more, F.lit(False)).cast("long")).otherwise(0).cast("long")
-    wide = wide.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
-    kept = [c for c in docs.columns if c.lower() not in own]
-    return wide.select(*[F.col("_row")[c].alias(c) for c in kept], *own)
+    there = (first == F.col("cut0")) & (second == F.col("cut1"))
+    at_cut = (F.col("rest") > 0) & there & (F.struct(*TIES) == F.col("last"))
+    more = (F.col("rest") > 0) & (earlier | (there & (F.struct(*TIES) <= F.col("last"))))
+
+    def finished(rows: DataFrame, more: Column) -> DataFrame:
+        copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce(more, F.lit(False)).cast("long")).otherwise(0).cast("long")
+        rows = rows.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
+        kept = [c for c in docs.columns if c.lower() not in own]
+        return rows.select(*[F.col("_row")[c].alias(c) for c in kept], *own)
+
+    if by_source.filter("fit < equal").isEmpty():
+        return finished(wide, more)
+    # Of the equal rows at a cut some are taken.
+    some_of = F.coalesce(at_cut & (F.col("fit") < F.col("equal")), F.lit(False))
+    return finished(wide.filter(~some_of), more).unionByName(finished(numbered(wide.filter(some_of)), F.col("number") <= F.col("fit")))

@@ -117,3 +117,24 @@ def test_real_sources_share_the_whole_budget(spark):
     sizes = docs.groupBy("source").agg(F.sum(M.words(F.col("text"))).alias("n")).collect()
     got = filled(spark, {r["source"]: r["n"] for r in sizes})
     assert sum(r["target"] < 2 * r["source_size"] for r in got) > 1
+
+
+@pytest.mark.parametrize("copies,others", [(100, 0), (100, 40), (3000, 7)])
+def test_of_equal_rows_as_many_as_fill_the_target(spark, copies, others):
+    """A source of repeated rows below its limit meets its target like any other."""
+    rows = [(1, " ".join(["w"] * 10), "b", -1)] * copies
+    rows += [(100 + i, " ".join(["w"] * (5 + i % 9)), "b", -1) for i in range(others)]
+    rows += [(9000 + i, " ".join(["w"] * 7), "a", -1) for i in range(copies)] + [(None, None, "b", -1)] * 3
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    got = M.mixed(docs).collect()
+    assert len(got) == len(rows)
+    sizes, taken = {}, {}
+    for r in got:
+        assert r["taken"] == r["copies"] * r["size"] <= 2 * r["size"]
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["size"]
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    want = brute_targets(sizes)
+    for s in want:
+        assert abs(taken[s] - want[s]) <= 7
+    again = M.mixed(docs.repartition(3)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
