@@ -8,7 +8,8 @@ still be a word by chance, the more so the shorter it is.  So each token also ha
 the letters of ordinary text, and within its band of lengths the Benjamini-Hochberg rule over all
 tokens of the corpus keeps the false discoveries at ``FDR``.
 
-DataFrame functions only.  Defined results: a null or empty text has no span.  Offsets are code
+DataFrame functions only.  Texts of any length and with any number of matches are scanned whole, in
+about linear time.  Defined results: a null or empty text has no span.  Offsets are code
 points, end exclusive.  Equal texts have equal spans; repeated rows each count as tokens of the
 corpus.  Null ids need no special case, an empty table gives no row, columns of the input stay and
 added ones replace those of their name.
@@ -17,7 +18,7 @@ added ones replace those of their name.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 ASSIGN_VALUE = 8
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+#: Items of an array that are summed up together, and characters of a text that lie together.
+BLOCK, CHUNK = 256, 1024
 #: Lower bounds of the bands of lengths.
 BANDS = (20, 28, 40, 64, 128)
 FDR = 0.01
@@ -60,6 +63,40 @@ ENCODINGS = (
 )
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, as a lambda over one element."""
+    return F.transform(F.array(value), use)[0]
+
+
+def in_blocks(items: Column, zero: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """Blocks of structs (item, before), where ``before`` is the sum, by ``add`` of a sum and an
+    item or of two sums, of what precedes the item.
+
+    A running sum over an array appends to an array at each step.  Here it does so within blocks of
+    ``BLOCK`` items, then over the sums of blocks, so that long arrays cost little more than their
+    length.
+    """
+    none = F.array().cast("array<int>")
+    state = lambda: F.struct(zero.alias("sum"), none.alias("before"))
+    step = lambda s, i: F.struct(add(s["sum"], i).alias("sum"), F.array_append(s["before"], s["sum"]).alias("before"))
+    parts = F.transform(
+        F.when(F.size(items) > 0, F.sequence(F.lit(0), F.ceil(F.size(items) / BLOCK).cast("int") - 1)).otherwise(none),
+        lambda k: F.slice(items, k * BLOCK + 1, F.lit(BLOCK)),
+    )
+    summed = F.transform(parts, lambda p: F.struct(p.alias("items"), F.aggregate(p, state(), step).alias("run")))
+
+    def placed(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: b["run"]["sum"])
+        offsets = F.aggregate(sums, state(), step)["before"]
+        whole = lambda b, o: F.transform(
+            F.arrays_zip(b["items"].alias("item"), b["run"]["before"].alias("before")),
+            lambda x: F.struct(x["item"].alias("item"), add(o, x["before"]).alias("before")),
+        )
+        return F.flatten(F.zip_with(blocks, offsets, whole))
+
+    return once(summed, placed)
+
+
 def matches(text: Column, pattern: str, value_group: int = 0) -> Column:
     """Array of (start, end, value) of the leftmost non-overlapping matches.
 
@@ -75,14 +112,18 @@ def matches(text: Column, pattern: str, value_group: int = 0) -> Column:
         lambda gap, m: F.struct(F.char_length(gap).alias("gap"), F.char_length(m["hit"]).alias("n"), m["value"].alias("value")),
     )
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
-    def step(state: Column, t: Column) -> Column:
-        begin = state["at"] + t["gap"]
-        span = F.struct(begin.alias("start"), (begin + t["n"]).alias("end"), t["value"].alias("value"))
-        return F.struct((begin + t["n"]).alias("at"), F.array_append(state["out"], span).alias("out"))
+    def spans(turns: Column) -> Column:
+        lengths = F.transform(turns, lambda t: t["gap"] + t["n"])
+        return F.zip_with(
+            in_blocks(lengths, F.lit(0), lambda s, i: s + i),
+            turns,
+            lambda at, t: F.struct(
+                (at["before"] + t["gap"]).alias("start"), (at["before"] + t["gap"] + t["n"]).alias("end"), t["value"].alias("value")
+            ),
+        )
 
-    return F.when(text.rlike(pattern), F.aggregate(turns, start, step, lambda s: s["out"])).otherwise(none)
+    return F.when(text.rlike(pattern), once(turns, spans)).otherwise(none)
 
 
 def upper_tail(z: Column) -> Column:
@@ -148,10 +189,10 @@ def tested(token: Column) -> Column:
         return F.struct(n.cast("int").alias("n"), p_random.alias("p_random"), log_lower_tail(z_text).alias("log_p_text"))
 
     # Each step is a lambda over one element, so that what it uses often is worked out once.
-    once = F.array(body)
+    out = F.array(body)
     for step in (counted, summed, judged):
-        once = F.transform(once, step)
-    return once[0]
+        out = F.transform(out, step)
+    return out[0]
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -221,16 +262,30 @@ def named(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, by: str = "[SECRET]") -> Column:
-    """``text`` with each stretch that spans cover replaced once."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """``text`` with each stretch that spans cover replaced once.
 
-    def step(state: Column, s: Column) -> Column:
-        gap = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(by))
-        out = F.when(s["start"] < state["at"], state["out"]).otherwise(gap)
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
+    The text is cut in chunks, from which the pieces between the spans are taken, so that none is
+    sought from the beginning of the text; the pieces are joined once.
+    """
+
+    def replaced(c: Column) -> Column:
+        def piece(start: Column, end: Column) -> Column:
+            first, last = (F.floor(x / CHUNK).cast("int") for x in (start, end))
+            near = F.array_join(F.slice(c["chunks"], first + 1, last - first + 1), "")
+            return F.substring(near, start - first * CHUNK + 1, end - start)
+
+        ends = F.transform(c["spans"], lambda s: s["end"])
+        pieces = F.zip_with(
+            in_blocks(ends, F.lit(0), F.greatest),
+            c["spans"],
+            lambda x, s: F.when(s["start"] < x["before"], "").otherwise(F.concat(piece(x["before"], s["start"]), F.lit(by))),
+        )
+        last = F.array_max(ends)
+        return F.concat(F.array_join(pieces, ""), piece(last, F.greatest(last, F.char_length(c["text"]))))
 
-    rest = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    cut = F.struct(text.alias("text"), spans.alias("spans"), chunks.alias("chunks"))
+    return F.when(F.size(spans) > 0, once(cut, replaced)).otherwise(text)
 
 
 def counts() -> dict[str, Column]:
