@@ -442,6 +442,6 @@ def upsert_feed(t):
         ingest.ingest(store, {"income_statement_quarter": _batches(t, snapshot)["income_statement_quarter"]})
     feed = ingest.change_log(store, after=1).filter("table_name = 'income_statement_quarter'")
     key = F.from_json("key", "symbol string, calendaryear int, period string")
-    return feed.select(
-        "commit", "table_name", *[key[k].alias(k) for k in MERGE], "op", F.concat_ws(",", F.coalesce("changed_columns", F.array().cast("array<string>"))).alias("changed_columns")
-    )
+    names = F.array_intersect(F.array(*map(F.lit, VALUES)), F.col("changed_columns"))
+    changed = F.concat_ws(",", F.coalesce(names, F.array().cast("array<string>"))).alias("changed_columns")
+    return feed.select("commit", "table_name", *[key[k].alias(k) for k in MERGE], "op", changed)
