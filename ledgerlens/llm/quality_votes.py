@@ -1,7 +1,7 @@
 """Quality of texts by the votes of their nearest labelled neighbours in latent-semantic space.
 
 1. A text becomes counts of its words, of the shapes of its tokens (``THE!!`` has the shape
-   ``A!``) and of tokens that repeat the one before, hashed to ``BUCKETS`` places, damped by a logarithm, and weighted by how few of *all*
+   ``A!``) and of tokens that repeat the one before, which count as that alone, hashed to ``BUCKETS`` places, damped by a logarithm, and weighted by how few of *all*
    texts hold them; these frequencies come from a pass over the whole table.
 2. A truncated singular value decomposition of the labelled texts, by subspace iteration, gives
    ``RANK`` latent directions.  Labelled texts, as unit vectors along them, are broadcast with their
@@ -95,9 +95,10 @@ class Counter:
             new = [buckets_of(t) for t in islice(self.known, first, None)]
             self.places = np.concatenate([self.places, np.array(new, np.int64)])
         row = np.repeat(np.arange(len(texts)), [len(t) for t in tokens])
-        again = row[1:][(codes[1:] == codes[:-1]) & (row[1:] == row[:-1])] * BUCKETS + AGAIN
-        words = (row[:, None] * BUCKETS + self.places[codes]).ravel()
-        keys, count = np.unique(np.concatenate([words, again]), return_counts=True)
+        again = np.zeros(len(codes), bool)
+        again[1:] = (codes[1:] == codes[:-1]) & (row[1:] == row[:-1])
+        words = (row[~again, None] * BUCKETS + self.places[codes[~again]]).ravel()
+        keys, count = np.unique(np.concatenate([words, row[again] * BUCKETS + AGAIN]), return_counts=True)
         return Counts(len(texts), keys // BUCKETS, keys % BUCKETS, count)
 
 
