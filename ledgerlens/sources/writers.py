@@ -30,12 +30,14 @@ def write_csv_per_symbol(df: DataFrame, path: str, key: str = "symbol") -> None:
 
 #: symbols per bucket of a bucketed table: about half a gigabyte of quarterly rows
 SYMBOLS_PER_BUCKET = 100_000
+#: rows per bucket of a bucketed table: one task sorts, joins or windows them in some hundred megabytes
+ROWS_PER_BUCKET = 500_000
 MIN_BUCKETS, MAX_BUCKETS = 8, 16_384
 
 
-def bucket_count(symbols: int) -> int:
-    """Number of buckets for a number of symbols."""
-    return min(max(-(-symbols // SYMBOLS_PER_BUCKET), MIN_BUCKETS), MAX_BUCKETS)
+def bucket_count(symbols: int, rows: int = 0) -> int:
+    """Number of buckets for a number of symbols, and of rows of the largest table where it is known."""
+    return min(max(-(-symbols // SYMBOLS_PER_BUCKET), -(-rows // ROWS_PER_BUCKET), MIN_BUCKETS), MAX_BUCKETS)
 
 
 def write_bucketed(

@@ -211,8 +211,9 @@ class Warehouse(dict):
         if self._folder is None:
             return df
         if self._buckets is None:
-            suppliers = self.spark.read.parquet(f"{self.sf_dir}/supplier.parquet").count()
-            self._buckets = bucket_count(suppliers)
+            # No derived table has more rows than there are sales; both counts come from file footers.
+            suppliers, lines = (self.spark.read.parquet(f"{self.sf_dir}/{n}.parquet").count() for n in ("supplier", "lineitem"))
+            self._buckets = bucket_count(suppliers, lines)
         table = f"ledgerlens_{self._tag}_{name}"
         return write_bucketed(df, table, f"{self._folder}/{name}", self._buckets, sort=sort)
 

@@ -155,3 +155,20 @@ def test_bucket_count():
     assert writers.bucket_count(10) == 8
     assert writers.bucket_count(100_000_000) == 1000
     assert writers.bucket_count(10**12) == writers.MAX_BUCKETS
+
+
+def test_bucket_count_follows_rows():
+    assert writers.bucket_count(10, 1_000) == 8
+    assert writers.bucket_count(360_000, 216_000_000) == 432
+    assert writers.bucket_count(10, 10**13) == writers.MAX_BUCKETS
+
+
+def test_buckets_of_derived_tables_follow_the_sales(spark, monkeypatch):
+    from ledgerlens.workload.derive import Warehouse
+
+    monkeypatch.setattr(writers, "ROWS_PER_BUCKET", 300)
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    price = Warehouse(spark, "/root/testdata/sf0.001")["price"]
+    wanted = -(-lines // 300)
+    assert wanted > 8
+    assert f"{wanted} buckets" in price._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation().bucketSpec().get().toString()
