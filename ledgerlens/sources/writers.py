@@ -17,10 +17,12 @@ def write_csv_per_symbol(df: DataFrame, path: str, key: str = "symbol") -> None:
     """One CSV folder per key.
 
     Rows are first brought together by key, so a key gets one file and a task keeps
-    one file open at a time.
+    one file open at a time.  The time goes to files and not to bytes, so the number of tasks
+    is fixed: by their bytes, small exchanges would be joined to one task that writes all files.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.repartition(key)
+        df.repartition(tasks, key)
         .write.mode("errorifexists")
         .partitionBy(key)
         .option("header", True)

@@ -151,6 +151,15 @@ def test_csv_per_symbol(spark, tmp_path):
     assert len(list((path / "symbol=A").glob("*.csv"))) == 1
 
 
+def test_csv_per_symbol_is_written_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "out"
+    df = spark.range(200).select(F.concat(F.lit("S"), "id").alias("symbol"), "id")
+    writers.write_csv_per_symbol(df, str(path))
+    files = list(path.glob("symbol=*/*.csv"))
+    assert len(files) == 200
+    assert len({f.name.split("-")[1] for f in files}) > 1  # the number of the task
+
+
 def test_bucket_count():
     assert writers.bucket_count(10) == 8
     assert writers.bucket_count(100_000_000) == 1000
