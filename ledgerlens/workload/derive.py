@@ -122,10 +122,16 @@ def year_statements(quarters: DataFrame) -> DataFrame:
 
 
 def prices(lines: DataFrame) -> DataFrame:
-    """Daily price per company: amount over quantity."""
+    """Daily price per company: amount over quantity.
+
+    A company sells little more than once a day, so sums that combine before an exchange would save
+    hardly a row and hold as many groups as the task has lines.  ``lines`` that are already parted
+    by symbol are summed where they are; a company with very many sales streams them into
+    one group a day.
+    """
     unit = F.col("c").cast("double") / F.col("qty") / 100
     return (
-        lines.groupBy("l_suppkey", "d")
+        lines.groupBy("symbol", "l_suppkey", "d")
         .agg(
             F.sum("c").alias("amount"),
             F.sum("qty").alias("units"),
@@ -134,7 +140,7 @@ def prices(lines: DataFrame) -> DataFrame:
             F.count("*").alias("volume"),
         )
         .select(
-            symbol_of("l_suppkey").alias("symbol"),
+            "symbol",
             (F.col("l_suppkey") + 1).alias("company_id"),
             F.col("d").alias("date"),
             "high",
@@ -210,12 +216,21 @@ class Warehouse(dict):
         """Written and bucketed where a shared folder exists, else the plan itself."""
         if self._folder is None:
             return df
+        table = f"ledgerlens_{self._tag}_{name}"
+        return write_bucketed(df, table, f"{self._folder}/{name}", self._bucket_count(), sort=sort)
+
+    def _bucket_count(self) -> int:
         if self._buckets is None:
             # No derived table has more rows than there are sales; both counts come from file footers.
             suppliers, lines = (self.spark.read.parquet(f"{self.sf_dir}/{n}.parquet").count() for n in ("supplier", "lineitem"))
             self._buckets = bucket_count(suppliers, lines)
-        table = f"ledgerlens_{self._tag}_{name}"
-        return write_bucketed(df, table, f"{self._folder}/{name}", self._buckets, sort=sort)
+        return self._buckets
+
+    def _lines_by_symbol(self) -> DataFrame:
+        """The sales a price needs, exchanged as the buckets are, so that the sums and the write of
+        the table need no further exchange."""
+        lines = sales(self.spark, self.sf_dir).select(symbol_of("l_suppkey").alias("symbol"), "l_suppkey", "d", "c", "qty")
+        return lines if self._folder is None else lines.repartition(self._bucket_count(), "symbol")
 
     def _make(self, name: str) -> DataFrame:
         spark, sf_dir = self.spark, self.sf_dir
@@ -223,7 +238,7 @@ class Warehouse(dict):
         if name == "company":
             return self._stored(name, companies(spark, sf_dir))
         if name == "price":
-            return self._stored(name, prices(sales(spark, sf_dir)), ["date"])
+            return self._stored(name, prices(self._lines_by_symbol()), ["date"])
         if name == "statement_quarter":
             return self._stored(name, quarter_statements(sales(spark, sf_dir)), by_date)
         if name == "statement_fy":
