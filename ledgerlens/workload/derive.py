@@ -56,43 +56,72 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def quarter_statements(lines: DataFrame) -> DataFrame:
-    """One wide quarterly row per company.
+def _known():
+    """Whether the stored snapshot has a sale."""
+    day = F.col("d")
+    return (day < F.lit("1999-01-01").cast("date")) | (
+        (F.col("l_linestatus") == "F") & (day < F.lit("2001-01-01").cast("date"))
+    )
+
+
+def quarter_parts(lines: DataFrame) -> DataFrame:
+    """Sums per company, quarter and whether the stored snapshot has the sale: what both states
+    of the quarters are put together from.
 
-    The sums combine on the map side, so a company with very many sales sends a row
-    per quarter and task, not its sales.
+    The sums combine on the map side, so a company with very many sales sends a few rows
+    per quarter and task, not its sales.  Each is a sum that several columns share, over the rows
+    where what it multiplies is there: NULL amounts drop out of the columns they belong to only.
     """
     c, disc, tax = F.col("c"), F.col("disc"), F.col("tax")
-    quarter_end = F.last_day(F.add_months(F.trunc("d", "quarter"), 2))
     no = F.lit(0).cast("bigint")
+    both = disc.isNotNull() & tax.isNotNull()
     sums = {
+        "c": c,
+        "c_disc": F.when(disc.isNotNull(), c),
+        "c_tax": F.when(tax.isNotNull(), c),
+        "c_both": F.when(both, c),
+        "disc": c * disc,
+        "tax": c * tax,
+        "disc_tax": c * (disc + tax),
+        "returned": F.when(F.col("l_returnflag") == "R", c).otherwise(no),
+        "qty": F.col("qty"),
+        "open": F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 7), c).otherwise(no),
+        "stock": c * F.when(F.col("l_linenumber") == 1, 12).otherwise(2),
+    }
+    quarter_end = F.last_day(F.add_months(F.trunc("d", "quarter"), 2))
+    known = F.coalesce(_known(), F.lit(False))
+    summed = (
+        lines.select("l_suppkey", quarter_end.alias("date"), known.alias("known"), *[e.alias(n) for n, e in sums.items()])
+        .groupBy("l_suppkey", "date", "known")
+        .agg(*[F.sum(n).alias(n) for n in sums])
+    )
+    return summed.select(symbol_of("l_suppkey").alias("symbol"), (F.col("l_suppkey") + 1).alias("company_id"), "date", "known", *sums)
+
+
+def quarter_statements(parts: DataFrame) -> DataFrame:
+    """One wide quarterly row per company, from the sums of ``quarter_parts``."""
+    by = ["symbol", "company_id", "date"]
+    sums = parts.groupBy(*by).agg(*[F.sum(n).alias(n) for n in parts.columns if n not in {*by, "known"}])
+    c, c_disc, c_tax, c_both = F.col("c"), F.col("c_disc"), F.col("c_tax"), F.col("c_both")
+    wide = {
         "revenue": c * 100,
-        "costofrevenue": c * (disc + 50),
-        "ebitda": c * (50 - disc),
-        "depreciationandamortization": c * tax,
-        "operatingincome": c * (50 - disc - tax),
-        "interestexpense": F.when(F.col("l_returnflag") == "R", c * 9).otherwise(no),
-        "netincome": c * (40 - disc - tax),
+        "costofrevenue": F.col("disc") + c_disc * 50,
+        "ebitda": c_disc * 50 - F.col("disc"),
+        "depreciationandamortization": F.col("tax"),
+        "operatingincome": c_both * 50 - F.col("disc_tax"),
+        "interestexpense": F.col("returned") * 9,
+        "netincome": c_both * 40 - F.col("disc_tax"),
         "weightedaverageshsoutdil": F.col("qty") * 1000,
         "totalassets": c * 300,
-        "totalcurrentliabilities": c * (tax + 60),
+        "totalcurrentliabilities": F.col("tax") + c_tax * 60,
         "cashandcashequivalents": c * 20,
-        "longtermdebt": F.when(
-            (F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 7), c
-        ).otherwise(no),
-        "operatingcashflow": c * (45 - disc),
-        "freecashflow": c * (16 - disc * 2),
-        "stockbasedcompensation": c * F.when(F.col("l_linenumber") == 1, 12).otherwise(2),
+        "longtermdebt": F.col("open"),
+        "operatingcashflow": c_disc * 45 - F.col("disc"),
+        "freecashflow": c_disc * 16 - F.col("disc") * 2,
+        "stockbasedcompensation": F.col("stock"),
     }
-    summed = (
-        lines.withColumn("date", quarter_end)
-        .groupBy("l_suppkey", "date")
-        .agg(*[F.sum(e).alias(n) for n, e in sums.items()])
-    )
-    return summed.select(
-        symbol_of("l_suppkey").alias("symbol"),
-        (F.col("l_suppkey") + 1).alias("company_id"),
-        "date",
+    return sums.select(*by, *[e.alias(n) for n, e in wide.items()]).select(
+        *by,
         F.year("date").alias("calendaryear"),
         F.concat(F.lit("Q"), F.quarter("date").cast("string")).alias("period"),
         *SUMS,
@@ -184,18 +213,14 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored_snapshot(lines: DataFrame, company: DataFrame) -> DataFrame:
+def stored_snapshot(parts: DataFrame, company: DataFrame) -> DataFrame:
     """An earlier state of the quarters, as an upsert finds it.
 
     Later sales are partly missing, the last year wholly, and so are companies listed
     after 2015.
     """
-    day = F.col("d")
-    known = (day < F.lit("1999-01-01").cast("date")) | (
-        (F.col("l_linestatus") == "F") & (day < F.lit("2001-01-01").cast("date"))
-    )
     listed = company.filter(F.year("ipodate") <= 2015)
-    return quarter_statements(lines.filter(known)).join(listed.select("symbol"), "symbol", "left_semi")
+    return quarter_statements(parts.filter("known")).join(listed.select("symbol"), "symbol", "left_semi")
 
 
 class Warehouse(dict):
@@ -239,12 +264,14 @@ class Warehouse(dict):
             return self._stored(name, companies(spark, sf_dir))
         if name == "price":
             return self._stored(name, prices(self._lines_by_symbol()), ["date"])
+        if name == "quarter_part":
+            return self._stored(name, quarter_parts(sales(spark, sf_dir)), by_date)
         if name == "statement_quarter":
-            return self._stored(name, quarter_statements(sales(spark, sf_dir)), by_date)
+            return self._stored(name, quarter_statements(self["quarter_part"]), by_date)
         if name == "statement_fy":
             return self._stored(name, year_statements(self["statement_quarter"]), by_date)
         if name == "snapshot_old":
-            df = stored_snapshot(sales(spark, sf_dir), self["company"])
+            df = stored_snapshot(self["quarter_part"], self["company"])
             return self._stored(name, df, by_date)
         if name == "snapshot_new":
             blank = F.when(F.col("period") != "Q4", F.col("interestexpense"))

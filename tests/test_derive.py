@@ -60,3 +60,47 @@ def test_sales_are_exchanged_once_for_prices(spark, sf_dir, written):
     got = rows(price.filter(F.col("date") == day).select("symbol", "company_id", "high", "low", "close", "volume"))
     assert got == [("T0000000001", 2, 7.5, 5.0, 4000.0 / 6 / 100, 2), (None, None, 2.0, 2.0, 2.0, 1)]
     assert price.count() == 7
+
+
+def test_both_states_of_the_quarters_read_the_sales_once(spark, sf_dir, written):
+    tables = derive.Warehouse(spark, sf_dir)
+    assert {tables["snapshot_old"].count(), tables["statement_quarter"].count()} == {2, 5}
+    assert [n for n, plan in written.items() if "l_extendedprice" in plan] == ["quarter_part"]
+    for name in ("snapshot_old", "statement_quarter"):
+        assert "Exchange hashpartitioning" not in written[name]
+
+
+def test_quarters_with_missing_amounts(spark, sf_dir):
+    """Each column is the sum of its own products; a missing amount leaves out those it is in."""
+    c, disc, tax = F.col("c"), F.col("disc"), F.col("tax")
+    no = F.lit(0).cast("bigint")
+    plain = {
+        "revenue": c * 100,
+        "costofrevenue": c * (disc + 50),
+        "ebitda": c * (50 - disc),
+        "depreciationandamortization": c * tax,
+        "operatingincome": c * (50 - disc - tax),
+        "interestexpense": F.when(F.col("l_returnflag") == "R", c * 9).otherwise(no),
+        "netincome": c * (40 - disc - tax),
+        "weightedaverageshsoutdil": F.col("qty") * 1000,
+        "totalassets": c * 300,
+        "totalcurrentliabilities": c * (tax + 60),
+        "cashandcashequivalents": c * 20,
+        "longtermdebt": F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 7), c).otherwise(no),
+        "operatingcashflow": c * (45 - disc),
+        "freecashflow": c * (16 - disc * 2),
+        "stockbasedcompensation": c * F.when(F.col("l_linenumber") == 1, 12).otherwise(2),
+    }
+    lines = derive.sales(spark, sf_dir)
+    end = F.last_day(F.add_months(F.trunc("d", "quarter"), 2))
+    wanted = lines.groupBy((F.col("l_suppkey") + 1).alias("company_id"), end.alias("date"))
+    wanted = wanted.agg(*[F.sum(e).alias(n) for n, e in plain.items()])
+    got = derive.quarter_statements(derive.quarter_parts(lines)).select(wanted.columns)
+    assert rows(got) == rows(wanted)
+    assert got.count() == 5
+    known = derive.quarter_statements(derive.quarter_parts(lines).filter("known"))
+    assert rows(known.select("company_id", "date", "revenue")) == [
+        (2, datetime.date(1996, 3, 31), 450000),
+        (2, datetime.date(2000, 3, 31), 70000),
+        (None, datetime.date(1996, 3, 31), 40000),
+    ]
