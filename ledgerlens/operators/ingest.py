@@ -50,6 +50,8 @@ def status_counts(status: DataFrame) -> DataFrame:
     )
 
 
+#: columns that place a row in a cell, or a share count
+PLACED = ("symbol", "date", "calendaryear", "period", "weightedaverageshsoutdil")
 #: attempts of a run whose commits collide with those of other runs
 ATTEMPTS = 10
 
@@ -77,6 +79,10 @@ def ingest(
         table: store.stage(table, normalize(df, table, False, schemas.LANDING), run)
         for table, df in raw.items()
     }
+    if source is not None and batches:
+        # A stream reads every declared column, whatever its files hold.
+        needed = {t: {*keys_of(t, b.columns), *schemas.LANDING, *PLACED} for t, b in batches.items()}
+        batches = upsert.filled_columns(batches, needed)
     status = store.record("status", ingest_status(batches), run)
     failed = status.filter(~F.col("ok")).select("symbol")
     good = {t: b.filter(F.col("symbol").isNotNull()).join(failed, "symbol", "left_anti") for t, b in batches.items()}

@@ -7,9 +7,10 @@ stored rows missing in the batch stay as they are.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.values import differs
@@ -38,13 +39,41 @@ def latest_cells(batch: DataFrame, keys: Sequence[str], landing: Sequence[str] =
     after another gives, so it does not matter how they are cut into batches.  Maxima combine on
     the map side: a key with very many rows does not meet in one task.
     """
-    values = [c for c in batch.columns if c not in {*keys, *landing}]
+    columns = [c for c in batch.columns if c not in landing]
+    values = [c for c in columns if c not in keys]
     if not values:
         return batch.select(*keys).distinct()
+    if len(landing) > 1:
+        batch, landing = _ranked(batch, landing), ["_rank"]
     filed = [c for c in FILING_DATES if c in values]
     place = F.struct(*landing, *filed, F.xxhash64(*values).alias("_hash"))
     cells = [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in values]
-    return batch.groupBy(*keys).agg(*cells).select(*[c for c in batch.columns if c not in landing])
+    return batch.groupBy(*keys).agg(*cells).select(*columns)
+
+
+def _ranked(batch: DataFrame, landing: Sequence[str]) -> DataFrame:
+    """The batch with the rank of its rows' file in place of time and name: every cell of a group
+    carries its place, and a path is many times a number.  There is one rank for each file of the
+    batch, which the stream lists on the driver too."""
+    names = [f"_of{c}" for c in landing]
+    files = batch.select(*landing).distinct().toDF(*names)
+    files = files.withColumn("_rank", F.row_number().over(Window.orderBy(*names)))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(landing, names, strict=True)])
+    return batch.join(F.broadcast(files), same).drop(*landing, *names)
+
+
+def filled_columns(batches: Mapping[str, DataFrame], kept: Mapping[str, Collection[str]]) -> dict[str, DataFrame]:
+    """The batches without columns that are NULL in every row, but for those of ``kept``: they
+    change no cell.  One pass over all batches."""
+
+    def filled(table: str, batch: DataFrame) -> DataFrame:
+        maybe = [c for c in batch.columns if c not in kept[table]]
+        there = [F.when(F.bool_or(F.col(c).isNotNull()), F.lit(c)) for c in maybe]
+        return batch.agg(F.lit(table).alias("table_name"), F.array_compact(F.array(*there, F.lit(""))).alias("names"))
+
+    found = reduce(DataFrame.unionByName, [filled(t, b) for t, b in batches.items()]).collect()
+    names = {r.table_name: {*r.names, *kept[r.table_name]} for r in found}
+    return {t: b.select(*[c for c in b.columns if c in names[t]]) for t, b in batches.items()}
 
 
 def _value_columns(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> list[str]:

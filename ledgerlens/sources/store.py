@@ -353,6 +353,14 @@ class VersionedStore:
         """
         return self._written(f"{self.root}/_staging/run={run}/{name}", df)
 
+    def stage_parts(self, name: str, df: DataFrame, run: str, by: str) -> dict[str, DataFrame]:
+        """The same in a folder for each value of the text column ``by``; rows by value, without it."""
+        folder = f"_staging/run={run}/{name}"
+        df.write.mode("overwrite").partitionBy(by).parquet(f"{self.root}/{folder}")
+        schema = df.drop(by).schema
+        values = [n.removeprefix(f"{by}=") for n in self._names(folder) if n.startswith(f"{by}=")]
+        return {v: self.spark.read.schema(schema).parquet(f"{self.root}/{folder}/{by}={v}") for v in values}
+
     def record(self, name: str, df: DataFrame, run: str) -> DataFrame:
         """Write a result of a run that stays, such as its status."""
         return self._written(f"{self.root}/_runs/run={run}/{name}", df)

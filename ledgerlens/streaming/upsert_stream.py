@@ -26,14 +26,18 @@ def stream_id(store: VersionedStore, checkpoint: str) -> str:
     return json.loads("".join(r.value for r in rows))["id"]
 
 
-def _taking(store: VersionedStore, checkpoint: str, raw: Callable[[DataFrame], Mapping[str, DataFrame]]):
-    """What a stream does with a batch: commit its tables once."""
+def _taking(store: VersionedStore, checkpoint: str, raw: Callable[[VersionedStore, DataFrame, str], Mapping[str, DataFrame]]):
+    """What a stream does with a batch: commit its tables once.  ``raw`` may stage rows for the run
+    it is given."""
 
     def upsert_files(batch: DataFrame, batch_id: int) -> None:
         own = VersionedStore(batch.sparkSession, store.root, store.buckets)
         stream = stream_id(own, checkpoint)
-        if own.head().streams.get(stream, -1) < batch_id and (tables := raw(batch)):
-            ingest(own, tables, source=(stream, batch_id))
+        if own.head().streams.get(stream, -1) < batch_id:
+            run = own.new_run()
+            if tables := raw(own, batch, run):
+                ingest(own, tables, source=(stream, batch_id))
+            own.drop_staging(run)
 
     return upsert_files
 
@@ -62,7 +66,7 @@ def stream_upsert(
     query = (
         reader.json(landing)
         .select("*", F.col("_metadata.file_modification_time").alias(at), F.col("_metadata.file_path").alias(file))
-        .writeStream.foreachBatch(_taking(store, checkpoint, lambda batch: {table: batch}))
+        .writeStream.foreachBatch(_taking(store, checkpoint, lambda own, batch, run: {table: batch}))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -95,15 +99,16 @@ def stream_upsert_all(
         F.col("_metadata.file_path").alias(file),
     )
 
-    def records(batch: DataFrame, table: str) -> DataFrame:
+    def records(rows: DataFrame, table: str) -> DataFrame:
         names = [f.name for f in schemas.provider_schema(table).fields]
         one = StructType([StructField(n, StringType()) for n in names])
-        rows = batch.filter(F.col("table_name") == table)
         return rows.select(F.inline(F.from_json("value", ArrayType(one))), at, file)
 
-    def landed(batch: DataFrame) -> dict[str, DataFrame]:
-        found = {r.table_name for r in batch.select("table_name").distinct().collect()}
-        return {t: records(batch, t) for t in schemas.TABLES if t in found and t != "shares_fy"}
+    def landed(own: VersionedStore, batch: DataFrame, run: str) -> dict[str, DataFrame]:
+        # The files are read once, and each table then parses its own lines alone.
+        known = [t for t in schemas.TABLES if t != "shares_fy"]
+        staged = own.stage_parts("landed", batch.filter(F.col("table_name").isin(known)), run, "table_name")
+        return {t: records(staged[t], t) for t in known if t in staged}
 
     query = (
         lines.writeStream.foreachBatch(_taking(store, checkpoint, landed))

@@ -333,3 +333,34 @@ def test_one_stream_for_all_tables(spark, tmp_path):
     stream_upsert_all(store, str(landing), str(tmp_path / "checkpoint"))
     assert store.current()[0] == 2
     assert store.read("price").filter("close = 1.6 AND volume = 10").count() == 1
+
+
+def test_places_of_cells_are_ranks_of_files(spark):
+    """The order is that of time and name; what is grouped carries a number and no path."""
+    late, early = datetime.datetime(2024, 1, 2), datetime.datetime(2024, 1, 1)
+    batch = spark.createDataFrame(
+        [("A", 1, None, late, "a"), ("A", 2, 7, early, "z"), ("A", 3, 8, early, "b"), ("B", None, 1, None, None), ("B", 5, None, early, None)],
+        "symbol string, revenue int, netincome int, at timestamp, file string",
+    )
+    got = upsert.latest_cells(batch.repartition(3), ["symbol"], ["at", "file"])
+    assert rows(got) == [("A", 1, 7), ("B", 5, 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "file" not in next(line for line in plan.splitlines() if "max_by" in line)
+
+
+def test_stream_drops_columns_no_file_has(spark, tmp_path, monkeypatch):
+    """Files are read once, and declared columns that none of them fills are not compared."""
+    seen, latest = {}, upsert.latest_cells
+    monkeypatch.setattr(upsert, "latest_cells", lambda b, *a: seen.setdefault(len(seen), b.columns) and latest(b, *a))
+    landing = tmp_path / "landing"
+    for table, record in (("income_statement_fy", {"revenue": 5}), ("balance_sheet_fy", {"totalAssets": 6}), ("other", {"x": 1})):
+        (landing / table).mkdir(parents=True)
+        lines = [json.dumps({"symbol": s, "date": "2020-12-31", "calendarYear": "2020", "period": "FY", **record}) for s in "AB"]
+        (landing / table / "1.json").write_text("\n".join(lines) + "\n")
+    store = VersionedStore(spark, str(tmp_path / "store"), buckets=2)
+    stream_upsert_all(store, str(landing), str(tmp_path / "checkpoint"))
+    assert rows(store.read("income_statement_fy").select("symbol", "revenue")) == [("A", 5), ("B", 5)]
+    assert rows(store.read("balance_sheet_fy").select("symbol", "totalassets")) == [("A", 6), ("B", 6)]
+    assert rows(store.read("shares_fy").select("symbol", "numberofshares")) == [("A", None), ("B", None)]
+    assert max(len(c) for c in seen.values()) <= 8 and any("revenue" in c for c in seen.values())
+    assert not list((tmp_path / "store" / "_staging").glob("run=*"))
