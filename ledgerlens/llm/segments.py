@@ -7,7 +7,7 @@ each distinct segment is encoded once and texts are put together from the codes
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 
@@ -48,21 +48,33 @@ class SegmentCache:
 
     def encode_distinct(self, segments: Sequence[str], at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same for texts of ``sizes`` segments, which ``at`` names by their places in
-        ``segments``: these alone are looked up one by one."""
-        return self._joined(self._codes(segments)[at], sizes)
+        ``segments``: these alone are looked up one by one, and none may repeat."""
+        self._bound()
+        known = self.known
+        codes = np.fromiter(map(known.get, segments, repeat(-1)), np.int64, len(segments))
+        at_new = np.flatnonzero(codes < 0)
+        new = [segments[i] for i in at_new.tolist()]
+        codes[at_new] = np.arange(len(known), len(known) + len(new))
+        known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+        self._learn(new)
+        return self._joined(codes[at], sizes)
 
     def _codes(self, segments: Iterable[str]) -> np.ndarray:
+        self._bound()
+        first = len(self.known)
+        codes = np.fromiter(map(self.known.__getitem__, segments), np.int64)
+        self._learn(list(islice(self.known, first, None)) if len(self.known) > first else [])
+        return codes
+
+    def _bound(self) -> None:
         if len(self.known) > (self.remembered or REMEMBERED) or len(self.flat) > IDS:
             self.clear()
-        known = self.known
-        first = len(known)
-        codes = np.fromiter(map(known.__getitem__, segments), np.int64)
-        if len(known) > first:
-            new = list(islice(known, first, None))
+
+    def _learn(self, new: list[str]) -> None:
+        if new:
             flat, lengths = self.encode_new(new)
             self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
             self.lengths = np.concatenate([self.lengths, lengths])
-        return codes
 
     def _joined(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = np.cumsum(self.lengths) - self.lengths

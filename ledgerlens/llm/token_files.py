@@ -18,8 +18,8 @@ and reads back as no row.  Other columns of the input are not written.
 
 from __future__ import annotations
 
+import codecs
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -42,8 +42,10 @@ PART_BYTES = 64 << 20
 STEMS = 800_000
 #: Segments that the library gets as one text.
 LINES = 200
-#: Perhaps a line break, a word of letters up to U+024F, perhaps a mark.
-LATIN = re.compile("(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]?)").fullmatch
+#: Bytes of rows that a worker takes at once; the more, the fewer segments are looked up again.
+TAKEN = 8 << 20
+#: A word of letters up to U+024F, perhaps a mark.
+LATIN = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+[.,]?$"
 #: White space at an end, next to other white space, or that is no plain space or line break.
 ODD_SPACE = (
     r"^[ \n]|[ \n]$|[ \n][ \n]|[\t\r\v\f\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -87,9 +89,11 @@ class ByteTokenizer:
     A byte-level tokenizer cuts before a space that a non-space follows, and around a line break
     between non-spaces; texts with other neighbouring white space, or with the text of an added
     token, go to the library whole.  A segment is a word after a space, written without it, or
-    the first word of a line, written with the break; a text is taken as a line.  A segment of
-    Latin letters, perhaps before a mark, is a line break, a stem and a mark, each a piece that
-    the model of the library merges by itself; other segments take the library's whole path.
+    the first word of a line, written with the break; a text is taken as a line.  A word of Latin
+    letters after a space, perhaps before a mark, is a stem and a mark, each a piece that the model
+    of the library merges by itself; other segments take the library's whole path.  New segments of
+    a kind go to the library some hundred at a time; one begins where an id begins with its space
+    or break.
     """
 
     def __init__(self, path: str):
@@ -98,18 +102,25 @@ class ByteTokenizer:
 
         self.lib = Tokenizer.from_file(path)
         pre = self.lib.pre_tokenizer
-        self.plain = self.lib.normalizer is None and type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space
         self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.pieces = Tokenizer(self.lib.model)
         self.pieces.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         moved = [b for b in range(256) if b not in kept]
-        self.letters = {b: 256 + i for i, b in enumerate(moved)}  # how a byte-level model writes bytes
-        self.space, self.line = (chr(self.letters[ord(c)]) for c in " \n")
-        self.begins = np.zeros(self.lib.get_vocab_size(), bool)
-        self.begins[[i for t, i in self.lib.get_vocab().items() if t[0] == self.space]] = True
+        letters = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(moved)}  # how a byte-level model writes bytes
+        self.space, self.line = letters[ord(" ")], letters[ord("\n")]
+        self.letters = "".join(letters[b] for b in range(256)).replace(self.space, " ").replace(letters[0], self.space)
+        vocab = self.lib.get_vocab()
+        self.begins = {c: np.zeros(max(vocab.values()) + 1, bool) for c in (self.space, self.line)}
+        for c, begins in self.begins.items():
+            begins[[i for t, i in vocab.items() if t[:1] == c]] = True
+        self.plain = (
+            self.lib.normalizer is None and type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space
+            and {self.space, self.line, *".,"} <= vocab.keys() and not any(" " in t or "\n" in t for t in self.added)
+        )
+        self.marks = {m: vocab.get(m, -1) for m in ".,"}
         self.stems = SegmentCache(self.encode_stems, STEMS)
-        self.cache = SegmentCache(lambda new: self.stems.encode([self.stems_of(s) for s in new]), STEMS)
+        self.cache = SegmentCache(self.encode_segments, STEMS)
 
     def separable(self, texts: pa.Array) -> np.ndarray:
         """Which texts fall into segments; the library gets the others whole."""
@@ -118,47 +129,46 @@ class ByteTokenizer:
         odd = pc.match_substring_regex(texts, ODD_SPACE)
         for t in self.added:
             odd = pc.or_(odd, pc.match_substring(texts, t))
-        return ~odd.to_numpy(zero_copy_only=False)
-
-    def stems_of(self, segment: str) -> tuple[str, ...]:
-        """Pieces in the letters of the model; a segment of another kind stays one, after a NUL."""
-        if segment.isascii() and segment.isalpha():
-            return (self.space + segment,)
-        m = LATIN(segment)
-        if not m:
-            return ("\0" + segment,)
-        word = m[2] if m[2].isascii() else m[2].encode().decode("latin-1").translate(self.letters)
-        first = (self.line, word) if m[1] else (self.space + word,)
-        return (*first, m[3]) if m[3] else first
-
-    def encode_stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Stems after a space go to the library some hundred at a time; a new one begins where an
-        id begins with the space."""
-        spaced, other = [], []
-        for i, s in enumerate(stems):
-            (spaced if s[0] == self.space else other).append(i)
-        texts = [" ".join(map(stems.__getitem__, spaced[i : i + LINES])) for i in range(0, len(spaced), LINES)]
-        ids = [e.ids for e in self.pieces.encode_batch_fast(texts, add_special_tokens=False)]
-        joined = np.array(list(chain.from_iterable(ids)), np.int64)
-        begins = np.flatnonzero(self.begins[joined])
-        lists = self.others([stems[i] for i in other])
-        lengths = np.zeros(len(stems), np.int64)
-        lengths[spaced] = np.diff(begins, append=len(joined))
-        lengths[other] = [len(x) for x in lists]
+        return ~booleans(odd)
+
+    def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words = pa.array(segments, pa.string())
+        latin, first = booleans(pc.match_substring_regex(words, LATIN)), booleans(pc.starts_with(words, "\n"))
+        lengths, found = np.zeros(len(words), np.int64), []
+        for kind, encode in ((latin, self.encode_latin), (first, self.encode_first), (~latin & ~first, self.encode_others)):
+            part, lengths[kind] = encode(words.filter(pa.array(kind)))
+            found.append((kind, part))
         starts = np.cumsum(lengths) - lengths
-        flat = np.zeros(lengths.sum(), np.int64)
-        flat[ranges(starts[spaced], lengths[spaced])] = joined
-        flat[ranges(starts[other], lengths[other])] = list(chain.from_iterable(lists))
+        flat = np.zeros(lengths.sum(), np.int32)
+        for kind, part in found:
+            flat[ranges(starts[kind], lengths[kind])] = part
         return flat, lengths
 
-    def others(self, stems: list[str]) -> list[list[int]]:
-        odd = iter(self.whole([s[1:] if s[1] == "\n" else " " + s[1:] for s in stems if s[0] == "\0"]))
-        plain = [s for s in stems if s[0] != "\0"]
-        pieces = iter([e.ids for e in self.pieces.encode_batch_fast(plain, add_special_tokens=False)])
-        return [next(odd if s[0] == "\0" else pieces) for s in stems]
+    def encode_latin(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        stems = pc.utf8_rtrim(words, ".,").dictionary_encode()
+        flat, lengths = self.stems.encode_distinct(strings(stems.dictionary), stems.indices.to_numpy(), np.ones(len(words), np.int64))
+        mark = np.full(len(words), -1)
+        for m, i in self.marks.items():
+            mark[booleans(pc.ends_with(words, m))] = i
+        marked = mark >= 0
+        return np.insert(flat, np.cumsum(lengths)[marked], mark[marked]), lengths + marked
+
+    def encode_stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Stems after a space, in the letters of the model: a NUL stands for that space, a space parts them."""
+        texts = [codecs.charmap_decode(f"\0{' \0'.join(x)}".encode(), "strict", self.letters)[0] for x in hundreds(stems)]
+        return self.cut(self.pieces, texts, self.space)
+
+    def encode_first(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return self.cut(self.lib, ["".join(x) for x in hundreds(strings(words))], self.line)
+
+    def encode_others(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return self.cut(self.lib, [" " + " ".join(x) for x in hundreds(strings(words))], self.space)
 
-    def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+    def cut(self, lib, texts: list[str], letter: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, and the number of them from each that begins with the letter to the next."""
+        ids = [e.ids for e in lib.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), np.int32)
+        return flat, np.diff(np.flatnonzero(self.begins[letter][flat]), append=len(flat))
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         """Ids of each text.  Arrow cuts the texts and finds the distinct segments of a batch, which
@@ -169,12 +179,24 @@ class ByteTokenizer:
         words = pc.split_pattern(pc.binary_join_element_wise("\n", lines, ""), " ")
         distinct = words.flatten().dictionary_encode()
         sizes = np.diff(words.offsets.to_numpy()).astype(np.int64)
-        flat, counts = self.cache.encode_distinct(distinct.dictionary.to_pylist(), distinct.indices.to_numpy(), sizes)
+        flat, counts = self.cache.encode_distinct(strings(distinct.dictionary), distinct.indices.to_numpy(), sizes)
         cut = iter(np.split(flat, np.cumsum(counts))[:-1])
         # Without the added break.
         return [next(cut)[1:] if s else np.array(self.lib.encode(t.as_py(), add_special_tokens=False).ids, np.int32) for s, t in zip(separable, texts, strict=True)]
 
 
+def booleans(array: pa.Array) -> np.ndarray:
+    return array.to_numpy(zero_copy_only=False)
+
+
+def strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()  # to_pylist takes ten times as long
+
+
+def hundreds(segments: list[str]) -> Iterator[list[str]]:
+    return (segments[i : i + LINES] for i in range(0, len(segments), LINES))
+
+
 @cache
 def tokenizer(path: str) -> ByteTokenizer:
     return ByteTokenizer(path)
@@ -185,13 +207,26 @@ def id_type(path: str, end_id: int) -> str:
     return "<u2" if max(end_id + 1, tokenizer(path).lib.get_vocab_size()) <= 1 << 16 else "<u4"
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in the same order, in batches of ``TAKEN`` bytes or just over."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= TAKEN:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """(doc_id, n_tokens, codes): ids as integers of ``id_type``, end id included."""
     session_of(docs)
     kind = id_type(path, end_id)
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in gathered(batches):
             found = [np.append(x, end_id).astype(kind) for x in tokenizer(path).encode(b["text"])]
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],

@@ -66,3 +66,45 @@ def test_cleared_cache_changes_nothing(limit, monkeypatch):
     own = T.ByteTokenizer(PATH)
     for _, t in ROWS:
         assert own.encode([t])[0].tolist() == ids(t)[:-1]
+
+
+KINDS = [
+    "Caf\u00e9 na\u00efve, \u0100\u0101\u024f. \u00d7 \u00f7 \u0250 word., word,. a.b don't 's\n's don't\n(x) .,\n., 12 3.4 ab1",
+    "\u4e2d\u6587 \u4e2d\u6587.\n\u4e2d, \U0001f600\n\U0001f600 \u0308e e\u0308 \u0120x \u010ax\n\u010ax \u0100 \u0000 a\u0000b\n\u0000 \u1e9e\u00df",
+    " \u00e9",
+]
+
+
+@pytest.mark.parametrize("text", KINDS)
+def test_kinds_of_segments(text):
+    assert T.ByteTokenizer(PATH).encode([text, text[::-1]])[0].tolist() == ids(text)[:-1]
+
+
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, lib):
+        self.lib, self.texts = lib, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.lib.encode_batch_fast(texts, **options)
+
+
+def test_library_gets_segments_of_all_kinds_some_hundred_at_a_time():
+    own = T.ByteTokenizer(PATH)
+    own.lib, own.pieces = Counting(own.lib), Counting(own.pieces)
+    words = [chr(97 + i % 26) + chr(97 + i // 26 % 26) + chr(97 + i // 676) for i in range(2000)]
+    text = " ".join(words) + "\n" + "\n".join(f"{w}\u00e9," for w in words) + " " + " ".join(f"{w}-{w}" for w in words)
+    assert own.encode([text])[0].tolist() == ids(text)[:-1]
+    assert own.lib.texts + own.pieces.texts <= 3 * (2000 // T.LINES + 1)
+
+
+@pytest.mark.parametrize("taken", [1, 300, 1 << 20])
+def test_gathered_batches_keep_rows(taken, monkeypatch):
+    monkeypatch.setattr(T, "TAKEN", taken)
+    batches = [T.pa.RecordBatch.from_pydict({"text": ["x" * 40] * n, "at": [k] * n}) for k, n in enumerate([3, 1, 5, 2])]
+    got = list(T.gathered(iter(batches)))
+    assert T.pa.Table.from_batches(got) == T.pa.Table.from_batches(batches).combine_chunks()
+    assert all(b.nbytes >= taken for b in got[:-1])
+    assert list(T.gathered(iter([]))) == []
