@@ -23,20 +23,20 @@ gives no row.
 
 from __future__ import annotations
 
-import re
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ledgerlens.llm.common import held_out, pieces, stored
-from ledgerlens.llm.segments import Codes
+from ledgerlens.llm.common import CHARACTERS, held_out, stored
 
 #: Labelled texts that vote, and counts of them that the decomposition takes.
 LABELLED, ENTRIES = 4096, 8_000_000
@@ -44,25 +44,50 @@ BUCKETS = 1 << 15
 RANK, EXTRA, ROUNDS = 64, 16, 4
 NEIGHBOURS = 25
 THRESHOLD = 0.3
-#: Texts whose cosines are taken together, and tokens remembered.
-BLOCK, REMEMBERED = 512, 300_000
+#: Texts whose cosines are taken together, and entries about which are multiplied together, so few that caches hold them.
+BLOCK, STEP = 512, 1 << 10
 
 #: Place of the tokens that repeat the one before.
 AGAIN = zlib.crc32(b"again") % BUCKETS
-PUNCTUATION = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
-REPEAT = re.compile(r"(.)\1+", re.DOTALL)
+PUNCTUATION = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
+#: What crc32 has of a word before its first character.
+WORD = zlib.crc32(b"word ")
+#: Kinds of code points, as far as they were met.
+UNKNOWN = 0xFFFFFFFF
+KINDS = np.full(sys.maxunicode + 1, UNKNOWN, np.uint32)
 
 
-def shape(token: str) -> str:
-    """Upper case, lower case and digits as ``A``, ``a`` and ``9``, others as they are, each run as one."""
-    return REPEAT.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in token))
+def kind(c: str) -> str:
+    """``A``, ``a`` and ``9`` for upper case, lower case and digits; others as they are."""
+    return "A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c
+
+
+def shape(lines: str) -> str:
+    """Kinds of the characters of each token, each run as one; tokens are lines."""
+    points = np.frombuffer(lines.encode("utf-32-le"), np.uint32)
+    for p in np.unique(points[KINDS[points] == UNKNOWN]).tolist():
+        KINDS[p] = ord(kind(chr(p)))
+    kinds = KINDS[points]
+    first = np.ones(len(kinds), bool)
+    first[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == ord("\n"))
+    return kinds[first].tobytes().decode("utf-32-le")
+
+
+def places_of(lines: str) -> np.ndarray:
+    """(tokens, 2): places of the word and of the shape of each token; a token without a word has its
+    shape twice.  Tokens are lines: none holds white space, and no character's case depends on those beyond it."""
+    shapes = pc.split_pattern(pa.array([shape(lines)]), "\n").flatten().dictionary_encode()
+    distinct = [zlib.crc32(f"shape {x}".encode()) % BUCKETS for x in shapes.dictionary.to_pylist()]
+    form = np.array(distinct, np.int64)[shapes.indices.to_numpy()]
+    words = [w.strip(PUNCTUATION) for w in lines.lower().encode().split(b"\n")]
+    word = np.fromiter(map(zlib.crc32, words, repeat(WORD)), np.int64, len(words)) % BUCKETS
+    return np.stack([np.where(np.array(list(map(bool, words))), word, form), form], axis=1)
 
 
 def buckets_of(token: str) -> tuple[int, int]:
-    """Places of the word and of the shape of a token; a token without a word has its shape twice."""
-    form = zlib.crc32(f"shape {shape(token)}".encode("utf-8", "replace")) % BUCKETS
-    word = token.lower().strip(PUNCTUATION)
-    return (zlib.crc32(f"word {word}".encode("utf-8", "replace")) % BUCKETS if word else form), form
+    """Places of the word and of the shape of one token."""
+    word, form = places_of(token)[0].tolist()
+    return word, form
 
 
 @dataclass
@@ -75,41 +100,44 @@ class Counts:
     count: np.ndarray
 
 
-class Counter:
-    """Counts features of texts; each distinct token is hashed once."""
-
-    def __init__(self) -> None:
-        self.clear()
-
-    def clear(self) -> None:
-        self.known = Codes()
-        self.places = np.zeros((0, 2), np.int64)
-
-    def counts(self, texts: list[str]) -> Counts:
-        if len(self.known) > REMEMBERED:
-            self.clear()
-        tokens = [t.split() for t in texts]
-        first = len(self.known)
-        codes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(tokens)), np.int64)
-        if len(self.known) > first:
-            new = [buckets_of(t) for t in islice(self.known, first, None)]
-            self.places = np.concatenate([self.places, np.array(new, np.int64)])
-        row = np.repeat(np.arange(len(texts)), [len(t) for t in tokens])
-        again = np.zeros(len(codes), bool)
-        again[1:] = (codes[1:] == codes[:-1]) & (row[1:] == row[:-1])
-        words = (row[~again, None] * BUCKETS + self.places[codes[~again]]).ravel()
-        keys, count = np.unique(np.concatenate([words, row[again] * BUCKETS + AGAIN]), return_counts=True)
-        return Counts(len(texts), keys // BUCKETS, keys % BUCKETS, count)
+def parts_of(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts in order, nulls as empty ones, at most ``CHARACTERS`` at a time or a single one."""
+    texts = texts.fill_null("")
+    start, size = 0, 0
+    for k, n in enumerate(pc.utf8_length(texts).to_numpy().tolist()):
+        if k > start and size + n > CHARACTERS:
+            yield texts.slice(start, k - start)
+            start, size = k, 0
+        size += n
+    if len(texts) > start:
+        yield texts.slice(start)
+
+
+def counted(texts: pa.Array) -> Counts:
+    """Features of texts, none null; each distinct token is hashed once, and all of them by a few calls."""
+    split = pc.utf8_split_whitespace(texts)
+    tokens = split.flatten().dictionary_encode()
+    codes, row = tokens.indices.to_numpy(), np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    blank = pc.index(tokens.dictionary, "").as_py()  # before and after the white space at the ends of a text
+    if blank >= 0:
+        codes, row = codes[codes != blank], row[codes != blank]
+    distinct = tokens.dictionary.cast(pa.string())  # Spark may hand over large ones
+    lines = pc.binary_join(pa.ListArray.from_arrays([0, len(distinct)], distinct), "\n")[0].as_py()
+    again = np.zeros(len(codes), bool)
+    again[1:] = (codes[1:] == codes[:-1]) & (row[1:] == row[:-1])
+    words = (row[~again, None] * BUCKETS + places_of(lines)[codes[~again]]).ravel()
+    keys, count = np.unique(np.concatenate([words, row[again] * BUCKETS + AGAIN]), return_counts=True)
+    return Counts(len(texts), keys // BUCKETS, keys % BUCKETS, count)
 
 
 def frequencies(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
     """Number of texts, and for each place the number of texts that hold it."""
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, n = Counter(), np.zeros(BUCKETS + 1, np.int64)
+        n = np.zeros(BUCKETS + 1, np.int64)
         for b in batches:
-            for part in pieces(b.column(0).to_pylist()):
-                n[:-1] += np.bincount(counter.counts(part).at, minlength=BUCKETS)
+            for part in parts_of(b.column(0)):
+                n[:-1] += np.bincount(counted(part).at, minlength=BUCKETS)
                 n[-1] += len(part)
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["at", "n"])
@@ -128,13 +156,14 @@ def weighted(counts: Counts, idf: np.ndarray) -> np.ndarray:
 
 
 def times(row: np.ndarray, at: np.ndarray, w: np.ndarray, dense: np.ndarray, n: int) -> np.ndarray:
-    """Rows of the sparse matrix (row, at, w), sorted by row, times a dense one."""
+    """Rows of the sparse matrix (row, at, w), sorted by row, times a dense one; some whole rows at a time."""
     out = np.zeros((n, dense.shape[1]))
-    step = 1 << 16
-    for e in range(0, len(row), step):
-        r = row[e : e + step]
-        starts = np.flatnonzero(np.diff(r, prepend=-1))
-        out[r[starts]] += np.add.reduceat(dense[at[e : e + step]] * w[e : e + step, None], starts)
+    starts = np.flatnonzero(np.diff(row, prepend=-1))
+    ends = np.append(starts[1:], len(row))
+    first = np.unique(starts // STEP, return_index=True)[1]
+    for a, z in zip(first, [*first[1:], len(starts)]):
+        e = slice(starts[a], ends[z - 1])
+        out[row[starts[a:z]]] = np.add.reduceat(dense[at[e]] * w[e, None], starts[a:z] - starts[a])
     return out
 
 
@@ -195,16 +224,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quali
     ids = known.join(docs.select("doc_id").distinct(), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
     chosen = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text"))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter()
+    def packed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k, t in enumerate(b.column(2).to_pylist()):
-                c = counter.counts([t or ""])
+            for k in range(len(b)):
+                c = counted(b.column(2).slice(k, 1).fill_null(""))
                 packed = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (c.at, c.count)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 1), b.column(1).slice(k, 1), pa.array([len(c.at)]), *packed], ["doc_id", "label", "size", "at", "n"])
 
     schema = StructType([chosen.schema["doc_id"], StructField("label", DoubleType()), *StructType.fromDDL("size long, at binary, n binary").fields])
-    sample = stored(chosen.mapInArrow(counted, schema), "quality-sample")
+    sample = stored(chosen.mapInArrow(packed_counts, schema), "quality-sample")
     before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     sizes = sample.select("doc_id", F.sum("size").over(before).alias("total"))  # at most ``LABELLED`` numbers
     kept = sizes.filter(F.col("total") <= ENTRIES).select("doc_id")
@@ -226,9 +254,8 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by ``LABELLED``, ``BUCKETS`` and ``RANK``
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter()
         for b in batches:
-            found = [shared.value.votes(shared.value.latent(counter.counts(part))) for part in pieces(b.column(1).to_pylist())]
+            found = [shared.value.votes(shared.value.latent(counted(part))) for part in parts_of(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate([np.zeros(0), *found]))], ["doc_id", "score"])
 
     rows = docs.select("doc_id", F.col(text).alias("text"))

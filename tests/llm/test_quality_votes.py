@@ -1,7 +1,10 @@
 import random
+import re
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlens.llm import quality_votes as Q
@@ -129,3 +132,67 @@ def test_without_labels_or_rows(spark):
     empty = spark.createDataFrame([(1, ""), (2, None)], "doc_id long, text string")
     learn = [i for i in (1, 2) if not out(i)]
     assert {r["score"] for r in Q.digest(empty, spark.createDataFrame([(i, 1) for i in learn], "doc_id long, quality int")).collect()} == {1.0}
+
+
+def features(text):
+    """Count of each place, one token at a time."""
+    count = {}
+    tokens = (text or "").split()
+    for token, last in zip(tokens, [None, *tokens]):
+        kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in token)
+        form = "shape " + re.sub(r"(.)\1+", r"\1", kinds, flags=re.DOTALL)
+        word = token.lower().strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+        for place in ["again"] if token == last else ["word " + word if word else form, form]:
+            at = zlib.crc32(place.encode()) % Q.BUCKETS
+            count[at] = count.get(at, 0) + 1
+    return count
+
+
+ODD = [
+    None, "", " \t\n", "  a  a a b ", "\x1cA\x1fB\x85C\u2003D\u3000E\xa0F", "ΟΔΟΣ ΟΔΟΣ, ΣΑΣ Σ ς 'Σ' aΣ\u0301 aΣ\u0301b", "İstanbul ISTANBUL ß ẞ ǅ ª ² Ⅷ ٣٣ 中文字 \U0001d7d8\U0001f600\U0001f600",
+    "THE!! *** --- a\x00b \x00\x00 x\u200bx x\u200b \ufeffq e\u0301e\u0301 <<>> [~] {|}", "last first", "first last last", "again again again again x",
+]
+
+
+@pytest.mark.parametrize("characters, kind", [(1, pa.string()), (60, pa.large_string()), (2_000_000, pa.string())])
+def test_features_equal_those_of_one_token_after_another(monkeypatch, characters, kind):
+    monkeypatch.setattr(Q, "CHARACTERS", characters)
+    chars = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    every = ["".join(chars[k : k + 97]) + " " + "q".join(chars[k : k + 97 : 7]) for k in range(0, len(chars), 97 if characters > 60 else 9700)]
+    texts = [None, *ODD, *every, *(t for _, t, _ in made(40))]
+    got = []
+    for part in Q.parts_of(pa.array(texts, kind).slice(1)):  # a slice, as batches may be
+        c = Q.counted(part)
+        assert c.n == len(part) and (len(part) == 1 or sum(map(len, part.to_pylist())) <= characters)
+        rows = [{} for _ in range(c.n)]
+        for r, at, n in zip(c.row.tolist(), c.at.tolist(), c.count.tolist()):
+            rows[r][at] = n
+        got += rows
+    assert got == [features(t) for t in texts[1:]]
+
+
+def test_a_new_token_costs_few_python_calls():
+    """Most words of a large table are met once or twice; each must not be a loop over its characters."""
+    text, calls = " ".join(f"Word{k}-{k % 97}x" for k in range(20_000)), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    part = pa.array([text])
+    before = sys.getprofile()
+    sys.setprofile(count)
+    try:
+        found = Q.counted(part)
+    finally:
+        sys.setprofile(before)
+    assert found.count.sum() == 40_000 and calls < 3 * 20_000
+
+
+def test_products_of_repeated_rows_are_equal():
+    """Wherever a row lies, its sum is taken in one piece."""
+    r = np.random.default_rng(2)
+    at, w, dense = np.sort(r.choice(5000, 700, replace=False)), r.random(700), r.random((5000, 8))
+    copies = Q.times(np.repeat(np.arange(400), 700), np.tile(at, 400), np.tile(w, 400), dense, 402)
+    assert (copies[:400] == copies[0]).all() and not copies[400:].any()
+    assert Q.times(np.zeros(0, int), np.zeros(0, int), np.zeros(0), dense, 3).tolist() == np.zeros((3, 8)).tolist()
